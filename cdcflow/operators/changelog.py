@@ -176,6 +176,23 @@ def emit(log: DataFrame, columns: list[str], keep: list[str] | None = None, **ho
     return log.select(*(keep or []), *emit_columns(log, columns, **how))
 
 
+def typed_columns(log: DataFrame, schema: T.StructType, image: str = "after") -> list[Column]:
+    """The columns of ``schema`` from the image, in its types.
+
+    Map images hold text, in which timestamps are epoch milliseconds.
+    """
+    if not isinstance(log.schema[image].dataType, T.MapType):
+        return [F.col(image)[f.name].cast(f.dataType).alias(f.name) for f in schema]
+
+    def of_text(f: T.StructField) -> Column:
+        text = F.try_element_at(F.col(image), F.lit(f.name))
+        if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
+            return F.timestamp_millis(text.cast("bigint")).cast(f.dataType)
+        return text.cast(f.dataType)
+
+    return [of_text(f).alias(f.name) for f in schema]
+
+
 def with_envelope(df: DataFrame, route: str | None = None) -> DataFrame:
     """Add a row id, the emit time in ms and a route label."""
     return df.withColumns(

@@ -13,7 +13,7 @@ _SALTABLE = {"inner", "left", "left_outer", "leftouter", "semi", "left_semi", "l
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Mark for broadcast only after counting, and only up to ``max_rows`` rows."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    return F.broadcast(df) if df.count() <= max_rows else df
 
 
 def row_salt(df: DataFrame, salt: int) -> Column:

@@ -9,26 +9,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-CHANGE_EVENT = T.StructType.fromDDL(
-    "db_table STRING, op STRING, before MAP<STRING,STRING>, after MAP<STRING,STRING>, "
-    "binlog_file STRING, binlog_pos BIGINT, row_seq INT, event_ts_ms BIGINT, gtid STRING"
-)
-ROW_EVENT = T.StructType.fromDDL(
-    "table_id BIGINT, op STRING, before_cells ARRAY<STRING>, after_cells ARRAY<STRING>, "
-    "binlog_file STRING, binlog_pos BIGINT, row_seq INT, event_ts_ms BIGINT, gtid STRING"
-)
-TABLE_MAP = T.StructType.fromDDL(
-    "table_id BIGINT, db_table STRING, binlog_file STRING, binlog_pos BIGINT, event_ts_ms BIGINT"
-)
-OFFSETS = T.StructType.fromDDL(
-    "db_table STRING, info MAP<STRING,STRING>, binlog_file STRING, binlog_pos BIGINT, "
-    "event_ts_ms BIGINT, gtid STRING"
+_STRING, _INT, _LONG = T.StringType(), T.IntegerType(), T.LongType()
+_IMAGE, _CELLS = T.MapType(_STRING, _STRING), T.ArrayType(_STRING)
+
+
+def _struct(**fields: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
+
+
+_PLACE = {"binlog_file": _STRING, "binlog_pos": _LONG, "row_seq": _INT, "event_ts_ms": _LONG, "gtid": _STRING}
+CHANGE_EVENT = _struct(db_table=_STRING, op=_STRING, before=_IMAGE, after=_IMAGE, **_PLACE)
+ROW_EVENT = _struct(table_id=_LONG, op=_STRING, before_cells=_CELLS, after_cells=_CELLS, **_PLACE)
+TABLE_MAP = _struct(table_id=_LONG, db_table=_STRING, binlog_file=_STRING, binlog_pos=_LONG, event_ts_ms=_LONG)
+OFFSETS = _struct(
+    db_table=_STRING, info=_IMAGE, binlog_file=_STRING, binlog_pos=_LONG, event_ts_ms=_LONG, gtid=_STRING
 )
-COLUMN_CATALOG = T.StructType.fromDDL(
-    "table_schema STRING, table_name STRING, column_name STRING, ordinal INT, data_type STRING"
+COLUMN_CATALOG = _struct(
+    table_schema=_STRING, table_name=_STRING, column_name=_STRING, ordinal=_INT, data_type=_STRING
 )
-RAW_CELL = T.StructType.fromDDL(
-    "event_id BIGINT, row_seq INT, column_name STRING, mysql_type STRING, meta INT, length INT, raw BINARY"
+RAW_CELL = _struct(
+    event_id=_LONG, row_seq=_INT, column_name=_STRING, mysql_type=_STRING, meta=_INT, length=_INT, raw=T.BinaryType()
 )
 
 # The declared type names and what each one is in Spark.
