@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 # Fixed values of the MySQL row format.
 DIGITS_PER_GROUP = 9
+MAX_DIGITS, MAX_SCALE = 65, 30
 DIGITS_TO_BYTES = [0, 1, 1, 2, 2, 3, 3, 4, 4, 4]
 TYPE_CODES = {"ENUM": 247, "SET": 248, "VAR_STRING": 253, "STRING": 254, "GEOMETRY": 255}
 INTEGER_BYTES = {"TINY": 1, "SHORT": 2, "INT24": 3, "LONG": 4, "LONGLONG": 8}
@@ -23,6 +24,7 @@ OTHER_TYPES = [
     "BIT", "FLOAT", "DOUBLE", "NEWDECIMAL", "DATE", "TIME", "TIME_V2", "TIMESTAMP", "TIMESTAMP_V2",
     "DATETIME", "DATETIME_V2", "YEAR", "STRING", "ENUM", "SET",
 ]
+NUMBER_TYPES = [*INTEGER_BYTES, "FLOAT", "DOUBLE", "DATE", "TIME", "TIMESTAMP", "DATETIME", "YEAR", "ENUM", "SET"]
 KNOWN_TYPES = [*INTEGER_BYTES, *VARIABLE_TEXT, *BLOBS, *OTHER_TYPES]
 
 Size = int | Column
@@ -64,17 +66,14 @@ def _signed64(raw: Column) -> Column:
     return F.conv(F.hex(raw), 16, -10).cast("bigint")
 
 
-def signed_le(raw: Column, size: int) -> Column:
-    """Signed little-endian integer of 1 to 8 bytes."""
-    if size == 8:
-        return _signed64(_backwards(raw, 1, 8))
-    v = uint_le(raw, 1, size)
-    return F.when(v >= 1 << (8 * size - 1), v - (1 << (8 * size))).otherwise(v)
+def number_le(raw: Column) -> Column:
+    """All bytes of a cell, at most 8, as a little-endian number; 8 bytes may come out negative."""
+    return _signed64(_backwards(raw, 1, 8))
 
 
-def flags_le(raw: Column, size: Size) -> Column:
-    """ENUM ordinal or SET bit mask: ``size`` little-endian bytes."""
-    return _per_size(size, list(range(1, 9)), lambda n: signed_le(raw, 8) if n == 8 else uint_le(raw, 1, n))
+def fold_sign(v: Column, size: int) -> Column:
+    """Unsigned number of ``size`` bytes to the signed one with the same bits."""
+    return F.when(v >= 1 << (8 * size - 1), v - (1 << (8 * size))).otherwise(v) if size < 8 else v
 
 
 def enum_label(ordinal: Column, labels: Column) -> Column:
@@ -92,13 +91,19 @@ def bit_width(meta: Column) -> Column:
     return F.shiftright(meta, 8) * 8 + meta.bitwiseAND(255)
 
 
+def signed_le(raw: Column, size: int) -> Column:
+    """Signed little-endian integer of 1 to 8 bytes."""
+    return fold_sign(number_le(raw), size)
+
+
 def bits(raw: Column) -> Column:
     """BIT column as a number; a 64th bit becomes the sign."""
     return _signed64(raw)
 
 
-def year_value(raw: Column) -> Column:
-    return uint_le(raw, 1, 1) + 1900
+def year_value(v: Column) -> Column:
+    """Year of the one-byte number stored for it."""
+    return v + 1900
 
 
 # -- floating point and decimals --------------------------------------------------------------
@@ -115,57 +120,109 @@ def _ieee(negative: Column, exponent: Column, mantissa: Column, mantissa_bits: i
     return F.when(negative, -size).otherwise(size)
 
 
-def float_le(raw: Column) -> Column:
-    """4-byte IEEE number; scaling by a power of two is exact."""
-    v = uint_le(raw, 1, 4)
+def float_value(v: Column) -> Column:
+    """The float whose 32 bits are this number; scaling by a power of two is exact."""
     exponent, mantissa = F.shiftright(v, 23).bitwiseAND(255), v.bitwiseAND((1 << 23) - 1)
     return _ieee(F.shiftright(v, 31) == 1, exponent, mantissa, 23, 127).cast("float")
 
 
-def double_le(raw: Column) -> Column:
-    """8-byte IEEE number."""
-    v = signed_le(raw, 8)
+def double_value(v: Column) -> Column:
+    """The double whose 64 bits are this number."""
     exponent, mantissa = F.shiftright(v, 52).bitwiseAND(2047), v.bitwiseAND((1 << 52) - 1)
     return _ieee(v < 0, exponent, mantissa, 52, 1023)
 
 
-def decimal_text(raw: Column, precision: Size, scale: Size) -> Column:
-    """Plain text of a packed decimal of any MySQL precision (up to 65 digits).
+def _negative(packed: Column) -> Column:
+    return F.substring(packed, 1, 1) < "8"
 
-    The digits are cut into groups of nine from the point outwards, each group big-endian. The
-    first bit is inverted, and all bits are for negative numbers.
-    """
-    p, s = _col(precision), _col(scale)
-    packed = F.hex(raw)
-    negative = F.substring(packed, 1, 1) < "8"
-    packed = F.when(negative, F.translate(packed, "0123456789ABCDEF", "FEDCBA9876543210")).otherwise(packed)
-    packed = F.concat(
-        F.translate(F.substring(packed, 1, 1), "0123456789ABCDEF", "89ABCDEF01234567"), F.substr(packed, F.lit(2))
-    )
 
-    number = lambda start, size, digits: F.lpad(
-        F.conv(F.substr(packed, start * 2 + 1, size * 2), 16, 10), digits, "0"
-    )
-    bytes_of = lambda digits: F.element_at(F.array(*map(F.lit, DIGITS_TO_BYTES)), digits + 1)
+def _unmasked(packed: Column) -> Column:
+    """Hex digits with the inverted sign bit put right, and all bits of negative numbers."""
+    inverse = F.translate(packed, "0123456789ABCDEF", "FEDCBA9876543210")
+    plain = F.when(_negative(packed), inverse).otherwise(packed)
+    first = F.translate(F.substring(plain, 1, 1), "0123456789ABCDEF", "89ABCDEF01234567")
+    return F.concat(first, F.substr(plain, F.lit(2)))
+
 
-    whole = p - s
-    lead, tail = whole % DIGITS_PER_GROUP, s % DIGITS_PER_GROUP
-    n_whole, n_fraction = ((n - n % DIGITS_PER_GROUP) / DIGITS_PER_GROUP for n in (whole, s))
-    n_whole, n_fraction = n_whole.cast("int"), n_fraction.cast("int")
-    point = bytes_of(lead) + n_whole * 4
+def _group(packed: Column, start: Size, size: Size, digits: Size) -> Column:
+    """The decimal digits of one big-endian group of bytes."""
+    group = F.substr(packed, _col(start * 2 + 1), _col(size * 2))
+    return F.lpad(F.conv(group, 16, 10), digits, "0")
 
-    def groups(start: Column, count: Column) -> Column:
-        full = F.transform(F.sequence(F.lit(0), count - 1), lambda i: number(start + i * 4, F.lit(4), F.lit(9)))
-        return F.when(count > 0, F.array_join(full, "")).otherwise("")
 
-    some = lambda digits, start: F.when(digits > 0, number(start, bytes_of(digits), digits)).otherwise("")
-    integer = F.ltrim(F.concat(some(lead, F.lit(0)), groups(bytes_of(lead), n_whole)), F.lit("0"))
+def _signed_text(negative: Column, integer: Column, fraction: Column, scale: Column) -> Column:
+    integer = F.ltrim(integer, F.lit("0"))
     integer = F.when(integer == "", "0").otherwise(integer)
-    fraction = F.concat(groups(point, n_fraction), some(tail, point + n_fraction * 4))
-    plain = F.when(s > 0, F.concat(integer, F.lit("."), fraction)).otherwise(integer)
+    plain = F.when(scale > 0, F.concat(integer, F.lit("."), fraction)).otherwise(integer)
     return F.when(negative & plain.rlike("[1-9]"), F.concat(F.lit("-"), plain)).otherwise(plain)
 
 
+def decimal_text(raw: Column, precision: int, scale: int) -> Column:
+    """Plain text of a packed decimal of any MySQL precision (up to 65 digits).
+
+    The digits are cut into groups of nine from the point outwards, each group big-endian.
+    """
+    packed = F.hex(raw)
+    digits, start = _unmasked(packed), 0
+    sides = []
+    for count, lead_first in ((precision - scale, True), (scale, False)):
+        full, part = divmod(count, DIGITS_PER_GROUP)
+        sizes = [DIGITS_PER_GROUP] * full
+        sizes = [part, *sizes] if lead_first else [*sizes, part]
+        texts = [F.lit("")]
+        for n in filter(None, sizes):
+            texts.append(_group(digits, start, DIGITS_TO_BYTES[n], n))
+            start += DIGITS_TO_BYTES[n]
+        sides.append(F.concat(*texts))
+    return _signed_text(_negative(packed), *sides, F.lit(scale))
+
+
+def _mixed_decimals(cells: DataFrame) -> DataFrame:
+    """Add ``decimal_text`` where precision and scale differ by row (``meta`` is scale * 256 + precision).
+
+    With the whole part padded to the widest decimal, its groups lie at fixed places in all rows.
+    """
+    is_decimal = F.col("mysql_type") == "NEWDECIMAL"
+    most_whole, most_fraction = MAX_DIGITS // DIGITS_PER_GROUP + 1, MAX_SCALE // DIGITS_PER_GROUP
+    whole, scale = F.col("_whole"), F.col("_scale")
+    bytes_of = lambda n: F.call_function("div", n, F.lit(DIGITS_PER_GROUP)) * 4 + F.element_at(
+        F.array(*map(F.lit, DIGITS_TO_BYTES)), n % DIGITS_PER_GROUP + 1
+    )
+    staged = cells.withColumns(
+        {
+            "_packed": F.when(is_decimal, F.hex("raw")),
+            "_scale": F.when(is_decimal, F.shiftright("meta", 8)),
+            "_whole": F.when(is_decimal, F.col("meta").bitwiseAND(255) - F.shiftright("meta", 8)),
+        }
+    )
+    staged = staged.withColumns({"_digits": _unmasked(F.col("_packed")), "_point": (bytes_of(whole) * 2).cast("int")})
+    staged = staged.withColumns(
+        {
+            "_left": F.lpad(F.substr("_digits", F.lit(1), F.col("_point")), 8 * most_whole, "0"),
+            "_right": F.substr("_digits", F.col("_point") + 1),
+        }
+    )
+    groups_right = F.call_function("div", scale, F.lit(DIGITS_PER_GROUP)).cast("int")
+    tail = scale % DIGITS_PER_GROUP
+    one = lambda text, i: _group(F.col(text), 4 * i, 4, DIGITS_PER_GROUP)
+    left = [
+        F.when(whole > DIGITS_PER_GROUP * (most_whole - 1 - i), one("_left", i)).otherwise("") for i in range(most_whole)
+    ]
+    right = [F.when(groups_right > i, one("_right", i)).otherwise("") for i in range(most_fraction)]
+    last = F.lpad(F.conv(F.substr("_right", groups_right * 8 + 1), 16, 10), tail, "0")
+    present = F.col("_packed").isNotNull()
+    staged = staged.withColumns(
+        {
+            "_left": F.when(present, F.concat(*left)),
+            "_right": F.when(present, F.concat(*right, F.when(tail > 0, last).otherwise(""))),
+        }
+    )
+    text = _signed_text(_negative(F.col("_packed")), F.col("_left"), F.col("_right"), scale)
+    return staged.withColumn("decimal_text", F.when(present, text)).drop(
+        "_packed", "_scale", "_whole", "_digits", "_point", "_left", "_right"
+    )
+
+
 def decimal_value(raw: Column, precision: int, scale: int) -> Column:
     """Packed decimal as DECIMAL; one wider than Spark's 38 digits stays text."""
     text = decimal_text(raw, precision, scale)
@@ -198,43 +255,74 @@ def _kept(micros: Column, opts: TimeOptions) -> Column:
     return micros if opts.micros else micros - micros % 1000
 
 
-def fraction_micros(raw: Column, start: int, fsp: Size) -> Column:
+def _fraction_bytes(fsp: Size) -> Column:
+    return F.call_function("div", _col(fsp) + 1, F.lit(2)).cast("int")
+
+
+def _by_bytes(n: Column, values: list[int]) -> Column:
+    """The value for 0, 1, 2 or 3 fraction bytes."""
+    return F.element_at(F.array(*[F.lit(v).cast("bigint") for v in values]), n + 1)
+
+
+def fraction_micros(raw: Column, start: Size, fsp: Size) -> Column:
     """Microseconds stored behind a packed time of ``fsp`` fractional digits."""
-    size = F.call_function("div", fsp + 1, F.lit(2)) if isinstance(fsp, Column) else (fsp + 1) // 2
-    build = lambda n: uint_be(raw, start, n) * 100 ** (3 - n) if n else F.lit(0).cast("bigint")
-    return _per_size(size, [0, 1, 2, 3], build)
+    n = _fraction_bytes(fsp)
+    stored = F.when(n > 0, uint_be(raw, start, n)).otherwise(0)
+    return stored * _by_bytes(n, [100**3, 100**2, 100, 1])
+
+
+def _hms(hour: Column, minute: Column, second: Column) -> Column:
+    return hour * 3600 + minute * 60 + second
 
 
 def _day(year: Column, month: Column, day: Column) -> Column:
-    """Date of its parts; a day past the month's end runs on into the next."""
-    return F.date_add(F.add_months(F.make_date(year, F.lit(1), F.lit(1)), month - 1), day - 1)
+    """Date of its parts, null if one is zero; a day past the month's end runs on into the next."""
+    y, m, d = (p.cast("int") for p in (year, month, day))
+    first = F.make_date(F.nullif(y, F.lit(0)), F.nullif(m, F.lit(0)), F.lit(1))
+    return F.date_add(first, F.nullif(d, F.lit(0)) - 1)
+
+
+def _moment(date: Column, seconds: Column, micros: Column, opts: TimeOptions) -> Column:
+    """Wall clock of a date, or what stands for a zero date."""
+    us = (F.unix_date(date).cast("bigint") * 86_400 + seconds) * 1_000_000 + _kept(micros, opts)
+    return F.coalesce(
+        F.timestamp_micros(us).cast("timestamp_ntz"),
+        F.when(seconds.isNotNull(), F.lit(opts.zero_date).cast("timestamp_ntz")),
+    )
 
 
-def _is_zero(year: Column, month: Column, day: Column) -> Column:
-    return (year == 0) | (month == 0) | (day == 0)
+def _date_parts(v: Column) -> tuple[Column, ...]:
+    """DATE number: 5 bits day, 4 bits month, the rest year."""
+    return F.shiftright(v, 9), F.shiftright(v, 5).bitwiseAND(15), v.bitwiseAND(31)
 
 
-def _moment(date: tuple, clock: tuple, micros: Column, opts: TimeOptions) -> Column:
-    hour, minute, second = clock
-    seconds = ((F.unix_date(_day(*date)).cast("bigint") * 24 + hour) * 60 + minute) * 60 + second
-    instead = F.lit(opts.zero_date).cast("timestamp_ntz")
-    moment = F.timestamp_micros(seconds * 1_000_000 + _kept(micros, opts)).cast("timestamp_ntz")
-    return F.when(_is_zero(*date), instead).otherwise(moment)
+def _datetime_parts(v: Column) -> tuple[tuple[Column, ...], Column]:
+    """Old DATETIME number, the decimal digits YYYYMMDDhhmmss, as date parts and seconds of the day."""
+    return (_digits(v, 10, 4), _digits(v, 8, 2), _digits(v, 6, 2)), _hms(_digits(v, 4, 2), _digits(v, 2, 2), _digits(v, 0, 2))
 
 
-def date_value(raw: Column, opts: TimeOptions = TimeOptions()) -> Column:
-    """3 little-endian bytes: 5 bits day, 4 bits month, the rest year."""
-    v = uint_le(raw, 1, 3)
-    parts = [p.cast("int") for p in (F.shiftright(v, 9), F.shiftright(v, 5).bitwiseAND(15), v.bitwiseAND(31))]
-    return F.when(_is_zero(*parts), F.lit(opts.zero_date).cast("date")).otherwise(_day(*parts))
+def _datetime_v2_parts(v: Column) -> tuple[tuple[Column, ...], Column]:
+    """DATETIME bits: sign, 17 of year * 13 + month, 5 day, 5 hour, 6 minute, 6 second."""
+    cut = lambda shift, width: F.shiftright(v, shift).bitwiseAND((1 << width) - 1)
+    date = (F.call_function("div", cut(22, 17), F.lit(13)), cut(22, 17) % 13, cut(17, 5))
+    return date, _hms(cut(12, 5), cut(6, 6), cut(0, 6))
 
 
-def time_micros(raw: Column) -> Column:
-    """Old TIME: the decimal digits hhmmss."""
-    v = signed_le(raw, 3)
+def _time_seconds(v: Column) -> Column:
+    """Old TIME number, the signed decimal digits hhmmss, as seconds."""
     size = F.abs(v)
-    seconds = _digits(size, 4, 3) * 3600 + _digits(size, 2, 2) * 60 + _digits(size, 0, 2)
-    return F.when(v < 0, -seconds).otherwise(seconds).cast("bigint") * 1_000_000
+    seconds = _hms(_digits(size, 4, 3), _digits(size, 2, 2), _digits(size, 0, 2))
+    return F.when(v < 0, -seconds).otherwise(seconds)
+
+
+def date_value(v: Column, opts: TimeOptions = TimeOptions()) -> Column:
+    """DATE of its number."""
+    return F.coalesce(_day(*_date_parts(v)), F.when(v.isNotNull(), F.lit(opts.zero_date).cast("date")))
+
+
+def time_micros(v: Column) -> Column:
+    """Old TIME of its number."""
+    return _time_seconds(v).cast("bigint") * 1_000_000
 
 
 def time_v2_micros(raw: Column, fsp: Size, opts: TimeOptions = TimeOptions()) -> Column:
@@ -243,24 +331,23 @@ def time_v2_micros(raw: Column, fsp: Size, opts: TimeOptions = TimeOptions()) ->
     The stored number, fraction included, is offset by half its range, so a negative time is the
     distance below that.
     """
-
-    def of(fraction_bytes: int) -> Column:
-        bits_below = 8 * fraction_bytes
-        stored = uint_be(raw, 1, 3 + fraction_bytes) - (1 << (23 + bits_below))
-        size = F.abs(stored)
-        cut = lambda shift, mask: F.shiftright(size, bits_below + shift).bitwiseAND(mask)
-        seconds = cut(12, 1023) * 3600 + cut(6, 63) * 60 + cut(0, 63)
-        fraction = size.bitwiseAND((1 << bits_below) - 1) * 100 ** (3 - fraction_bytes) if fraction_bytes else F.lit(0)
-        micros = seconds * 1_000_000 + _kept(fraction, opts)
-        return F.when(stored < 0, -micros).otherwise(micros)
-
-    size = F.call_function("div", fsp + 1, F.lit(2)) if isinstance(fsp, Column) else (fsp + 1) // 2
-    return _per_size(size, [0, 1, 2, 3], of)
+    n = _fraction_bytes(fsp)
+    stored = uint_be(raw, 1, n + 3) - _by_bytes(n, [1 << 23, 1 << 31, 1 << 39, 1 << 47])
+    size = F.abs(stored)
+    clock = F.call_function("shiftright", size, n * 8)
+    seconds = (
+        F.shiftright(clock, 12).bitwiseAND(1023) * 3600
+        + F.shiftright(clock, 6).bitwiseAND(63) * 60
+        + clock.bitwiseAND(63)
+    )
+    fraction = (size - F.call_function("shiftleft", clock, n * 8)) * _by_bytes(n, [100**3, 100**2, 100, 1])
+    micros = seconds * 1_000_000 + _kept(fraction, opts)
+    return F.when(stored < 0, -micros).otherwise(micros)
 
 
-def timestamp_value(raw: Column) -> Column:
-    """Old TIMESTAMP: 4 little-endian bytes of seconds."""
-    return F.timestamp_seconds(uint_le(raw, 1, 4))
+def timestamp_value(v: Column) -> Column:
+    """Old TIMESTAMP number: seconds."""
+    return F.timestamp_seconds(v)
 
 
 def timestamp_v2_value(raw: Column, fsp: Size, opts: TimeOptions = TimeOptions()) -> Column:
@@ -270,21 +357,16 @@ def timestamp_v2_value(raw: Column, fsp: Size, opts: TimeOptions = TimeOptions()
     return F.to_utc_timestamp(ts, opts.zone) if opts.zone else ts
 
 
-def datetime_value(raw: Column, opts: TimeOptions = TimeOptions()) -> Column:
-    """Old DATETIME: the decimal digits YYYYMMDDhhmmss in 8 little-endian bytes."""
-    v = signed_le(raw, 8)
-    date = (_digits(v, 10, 4), _digits(v, 8, 2), _digits(v, 6, 2))
-    clock = (_digits(v, 4, 2), _digits(v, 2, 2), _digits(v, 0, 2))
-    return _moment(date, clock, F.lit(0).cast("bigint"), opts)
+def datetime_value(v: Column, opts: TimeOptions = TimeOptions()) -> Column:
+    """Old DATETIME of its number."""
+    date, seconds = _datetime_parts(v)
+    return _moment(_day(*date), seconds, F.lit(0).cast("bigint"), opts)
 
 
 def datetime_v2_value(raw: Column, fsp: Size, opts: TimeOptions = TimeOptions()) -> Column:
-    """DATETIME with fraction: a sign bit, 17 bits year * 13 + month, day, hour, minute, second."""
-    v = uint_be(raw, 1, 5)
-    cut = lambda shift, width: F.shiftright(v, shift).bitwiseAND((1 << width) - 1).cast("int")
-    year_month = cut(22, 17)
-    date = (F.call_function("div", year_month, F.lit(13)).cast("int"), year_month % 13, cut(17, 5))
-    return _moment(date, (cut(12, 5), cut(6, 6), cut(0, 6)), fraction_micros(raw, 6, fsp), opts)
+    """DATETIME with fraction: 5 big-endian bytes, then the fraction."""
+    date, seconds = _datetime_v2_parts(uint_be(raw, 1, 5))
+    return _moment(_day(*date), seconds, fraction_micros(raw, 6, fsp), opts)
 
 
 def as_long(ts: Column, micros: bool = False) -> Column:
@@ -295,10 +377,10 @@ def as_long(ts: Column, micros: bool = False) -> Column:
 # -- text and bytes ---------------------------------------------------------------------------
 
 
-def payload(raw: Column, prefix_bytes: Size) -> Column:
+def payload(raw: Column, prefix_bytes: Size, sizes: list[int] = [1, 2, 3, 4]) -> Column:  # noqa: B006
     """The bytes behind a little-endian length prefix of 1 to 4 bytes."""
     return _per_size(
-        prefix_bytes, [1, 2, 3, 4], lambda n: F.substring(raw, F.lit(1 + n), uint_le(raw, 1, n).cast("int"))
+        prefix_bytes, sizes, lambda n: F.substring(raw, F.lit(1 + n), uint_le(raw, 1, n).cast("int"))
     )
 
 
@@ -357,42 +439,66 @@ def decode_cells(
         error = F.raise_error(F.concat(F.lit("unsupported type "), kind)).cast("boolean")
         cells = cells.where(F.when(known, True).otherwise(error))
 
-    integers = F.when(kind == "YEAR", year_value(raw)).when(kind == "BIT", bits(raw))
-    integers = integers.when(kind.isin("ENUM", "SET"), flags_le(raw, length))
+    is_fraction_date = kind.isin("DATETIME_V2", "TIMESTAMP_V2")
+    number_bytes = (
+        F.when(kind.isin(NUMBER_TYPES), _backwards(raw, 1, 8))
+        .when(kind == "BIT", raw)
+        .when(kind == "DATETIME_V2", F.substring(raw, 1, 5))
+        .when(kind == "TIMESTAMP_V2", F.substring(raw, 1, 4))
+    )
+    fraction_at = F.when(kind == "DATETIME_V2", 6).otherwise(5)
+    # Step by step, as later columns refer to earlier ones many times.
+    staged = _mixed_decimals(cells).withColumns(
+        {
+            "_n": _signed64(number_bytes),
+            "_us": F.when(is_fraction_date, fraction_micros(raw, fraction_at, meta)).otherwise(0),
+            "_time_v2": F.when(kind == "TIME_V2", time_v2_micros(raw, meta, times)),
+        }
+    )
+    v, us = F.col("_n"), F.col("_us")
+    old, new = _datetime_parts(v), _datetime_v2_parts(v)
+    part = lambda i: (
+        F.when(kind == "DATE", _date_parts(v)[i]).when(kind == "DATETIME", old[0][i]).when(kind == "DATETIME_V2", new[0][i])
+    )
+    staged = staged.withColumns(
+        {
+            "_date": _day(part(0), part(1), part(2)),
+            "_seconds": F.when(kind == "DATETIME", old[1])
+            .when(kind == "DATETIME_V2", new[1])
+            .when(kind == "TIME", _time_seconds(fold_sign(v, 3))),
+        }
+    )
+    date, seconds = F.col("_date"), F.col("_seconds")
+
+    integers = F.when(kind == "YEAR", year_value(v)).when(kind.isin("ENUM", "SET", "BIT"), v)
     as_bytes = F.when(kind.isin(BLOBS), payload(raw, meta))
-    for type_name, size in INTEGER_BYTES.items():
-        if integers_as_bytes:
-            as_bytes = as_bytes.when(kind == type_name, raw)
-        else:
-            integers = integers.when(kind == type_name, signed_le(raw, size))
-
-    chars = F.when(kind == "STRING", payload(raw, text_prefix(length)))
-    chars = chars.when(kind.isin(VARIABLE_TEXT), payload(raw, text_prefix(meta)))
+    if integers_as_bytes:
+        as_bytes = as_bytes.when(kind.isin(*INTEGER_BYTES), raw)
+    else:
+        for type_name, size in INTEGER_BYTES.items():
+            integers = integers.when(kind == type_name, fold_sign(v, size))
+
+    chars = F.when(
+        (kind == "STRING") | kind.isin(VARIABLE_TEXT),
+        payload(raw, text_prefix(F.when(kind == "STRING", length).otherwise(meta)), [1, 2]),
+    )
     if text_as_bytes:
         as_bytes, text = F.coalesce(as_bytes, chars), F.lit(None).cast("string")
     else:
         text = F.decode(chars, "UTF-8")
 
-    moment = F.when(kind == "TIMESTAMP", timestamp_value(raw)).when(
-        kind == "TIMESTAMP_V2", timestamp_v2_value(raw, meta, times)
-    )
-    wall_clock = F.when(kind == "DATETIME", datetime_value(raw, times)).when(
-        kind == "DATETIME_V2", datetime_v2_value(raw, meta, times)
-    )
-    return cells.withColumns(
+    stamp = F.timestamp_micros(v * 1_000_000 + _kept(us, times))
+    shifted = F.to_utc_timestamp(stamp, times.zone) if times.zone else stamp
+    zero_date = F.when((kind == "DATE") & v.isNotNull(), F.lit(times.zero_date).cast("date"))
+    return staged.withColumns(
         {
             "int_value": integers,
-            "double_value": F.when(kind == "FLOAT", float_le(raw).cast("double")).when(kind == "DOUBLE", double_le(raw)),
-            "decimal_text": F.when(
-                kind == "NEWDECIMAL", decimal_text(raw, meta.bitwiseAND(255), F.shiftright(meta, 8))
-            ),
-            "date_value": F.when(kind == "DATE", date_value(raw, times)),
-            "time_us": F.when(kind == "TIME", time_micros(raw)).when(
-                kind == "TIME_V2", time_v2_micros(raw, meta, times)
-            ),
-            "ts_value": moment,
-            "datetime_value": wall_clock,
+            "double_value": F.when(kind == "FLOAT", float_value(v).cast("double")).when(kind == "DOUBLE", double_value(v)),
+            "date_value": F.when(kind == "DATE", F.coalesce(date, zero_date)),
+            "time_us": F.when(kind == "TIME", seconds * 1_000_000).when(kind == "TIME_V2", F.col("_time_v2")),
+            "ts_value": F.when(kind == "TIMESTAMP", stamp).when(kind == "TIMESTAMP_V2", shifted),
+            "datetime_value": F.when(kind.isin("DATETIME", "DATETIME_V2"), _moment(date, seconds, us, times)),
             "text_value": text,
             "bytes_value": as_bytes,
         }
-    )
+    ).drop("_n", "_us", "_time_v2", "_date", "_seconds")

@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_DEPTH = 8
 
 
+def _bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often it is referred to."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def _elements(v: Column) -> Column:
     return F.try_variant_get(v, "$", "array<variant>")
 
@@ -17,34 +24,66 @@ def _members(v: Column) -> Column:
 
 
 def _text(v: Column) -> Column:
-    return F.coalesce(F.try_variant_get(v, "$", "string"), F.lit(""))
+    return F.try_variant_get(v, "$", "string")
+
+
+def _opens(text: Column) -> Column:
+    """Whether a text starts like an object or array; cheap enough to ask of every scalar."""
+    return F.ltrim(text, F.lit(" \t\r\n")).substr(1, 1).isin("{", "[")
 
 
-def _is_container(v: Column) -> Column:
-    return _elements(v).isNotNull() | _members(v).isNotNull()
+def _entry(path: Column, value: Column, text: Column | None = None) -> Column:
+    """A path with either its value still to be looked into or its final text."""
+    done = F.lit(None).cast("string") if text is None else text
+    return F.struct(path.alias("path"), value.alias("open"), done.alias("value"))
+
+
+def _leaf(path: Column, text: Column) -> Column:
+    return _entry(path, F.lit(None).cast("variant"), F.coalesce(text, F.lit("")))
 
 
 def _reparsed(v: Column) -> Column:
     """An array element whose text is itself a JSON object or array stands for that container."""
-    inner = F.try_parse_json(F.try_variant_get(v, "$", "string"))
-    return F.when(_is_container(inner), inner).otherwise(v)
+    return F.coalesce(F.when(_opens(_text(v)), F.try_parse_json(_text(v))), v)
 
 
 def _children(entry: Column) -> Column:
-    """One level down: members as ``a.b``, elements as ``a[0]``; scalars stay as they are."""
-    path, value = entry["path"], entry["value"]
-    member_path = lambda key: F.when(path == "", key).otherwise(F.concat(path, F.lit("."), key))
+    """One level down: members as ``a.b``, elements as ``a[0]``; scalars become leaves."""
+    path, value = entry["path"], entry["open"]
+    prefix = F.when(path == "", path).otherwise(F.concat(path, F.lit(".")))
     elements = F.transform(
         _elements(value),
-        lambda v, i: F.struct(
-            F.concat(path, F.lit("["), i.cast("string"), F.lit("]")).alias("path"), _reparsed(v).alias("value")
-        ),
+        lambda v, i: _entry(F.concat(path, F.lit("["), i.cast("string"), F.lit("]")), _reparsed(v)),
     )
     members = F.transform(
-        F.map_entries(_members(value)),
-        lambda kv: F.struct(member_path(kv["key"]).alias("path"), kv["value"].alias("value")),
+        F.map_entries(_members(value)), lambda kv: _entry(F.concat(prefix, kv["key"]), kv["value"])
+    )
+    down = F.coalesce(elements, members, F.array(_leaf(path, _text(value))))
+    return F.when(entry["value"].isNull(), down).otherwise(F.array(entry))
+
+
+def _is_open(entry: Column) -> Column:
+    return entry["value"].isNull()
+
+
+def _expanded(entries: Column) -> Column:
+    """All entries one level down, or just as they are when no value is left to look into."""
+    return F.when(F.exists(entries, _is_open), F.flatten(F.transform(entries, _children))).otherwise(entries)
+
+
+def _flat(root: Column, depth: int) -> Column:
+    entries = F.array(_entry(F.lit(""), root))
+    for _ in range(depth + 1):
+        entries = _bind(entries, _expanded)
+    too_deep = F.raise_error(F.lit(f"JSON nested deeper than {depth}")).cast("string")
+    texts = F.transform(
+        entries, lambda e: F.struct(e["path"].alias("path"), F.coalesce(e["value"], too_deep).alias("value"))
+    )
+    # Equal paths are neighbours once sorted: keep the last of each.
+    return _bind(
+        F.array_sort(texts),
+        lambda all_: F.filter(all_, lambda e, i: ~e["path"].eqNullSafe(F.get(all_, i + 1)["path"])),
     )
-    return F.coalesce(elements, members, F.array(F.struct(path.alias("path"), value.alias("value"))))
 
 
 def flat_entries(body: Column, depth: int = DEFAULT_DEPTH) -> Column:
@@ -54,29 +93,9 @@ def flat_entries(body: Column, depth: int = DEFAULT_DEPTH) -> Column:
     no object or array gives one entry under the empty path. Documents nested deeper than
     ``depth`` raise instead of losing values. No row leaves its task.
     """
-    root = F.try_parse_json(body)
-    entries = F.array(F.struct(F.lit("").alias("path"), root.alias("value")))
-    for _ in range(depth):
-        entries = F.flatten(F.transform(entries, _children))
-    texts = F.transform(
-        entries,
-        lambda e: F.struct(
-            e["path"].alias("path"),
-            F.when(
-                _is_container(e["value"]), F.raise_error(F.lit(f"JSON nested deeper than {depth}")).cast("string")
-            )
-            .otherwise(_text(e["value"]))
-            .alias("value"),
-        ),
-    )
-    in_order = F.array_sort(texts)
-    # After sorting, equal paths are neighbours: keep the last of each.
-    unique = F.filter(
-        in_order,
-        lambda e, i: (i + 1 == F.size(in_order)) | (e["path"] != F.get(in_order, i + 1)["path"]),
-    )
     scalar = F.array(F.struct(F.lit("").alias("path"), body.alias("value")))
-    return F.when(body.isNull(), F.lit(None)).when(_is_container(root), unique).otherwise(scalar)
+    nested = _bind(F.try_parse_json(body), lambda root: F.when(root.isNotNull(), _flat(root, depth)))
+    return F.when(body.isNotNull(), F.coalesce(F.when(_opens(body), nested), scalar))
 
 
 def flatten_json(df: DataFrame, body: str, keep: list[str] | None = None, depth: int = DEFAULT_DEPTH) -> DataFrame:

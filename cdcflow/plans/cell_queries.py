@@ -47,7 +47,7 @@ def decode_integers(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_partkey",
         *[D.signed_le(F.col(n), size).alias(n) for n, (_, size) in numbers.items()],
         D.bits(F.col("bits")).alias("bits"),
-        D.year_value(F.col("year")).alias("year"),
+        D.year_value(D.number_le(F.col("year"))).alias("year"),
     )
 
 
@@ -104,9 +104,9 @@ def decode_floats(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey",
         "l_linenumber",
         "l_partkey",
-        D.double_le(F.col("price")).alias("price"),
-        D.double_le(F.col("discount")).alias("discount"),
-        D.float_le(F.col("tax")).cast("double").alias("tax"),
+        D.double_value(D.number_le(F.col("price"))).alias("price"),
+        D.double_value(D.number_le(F.col("discount"))).alias("discount"),
+        D.float_value(D.number_le(F.col("tax"))).cast("double").alias("tax"),
     )
 
 
@@ -120,8 +120,8 @@ def decode_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = table(spark, sf_dir, "orders").select("o_orderkey", raw.alias("raw"))
     return packed.select(
         "o_orderkey",
-        D.date_value(F.col("raw")).alias("ordered"),
-        D.date_value(F.col("raw"), D.TimeOptions(zero_date="1970-01-01")).alias("filled"),
+        D.date_value(D.number_le(F.col("raw"))).alias("ordered"),
+        D.date_value(D.number_le(F.col("raw")), D.TimeOptions(zero_date="1970-01-01")).alias("filled"),
     )
 
 
@@ -145,14 +145,14 @@ def decode_datetimes(spark: SparkSession, sf_dir: str) -> DataFrame:
     us = D.datetime_v2_value(F.col("v2_6"), 6, micros)
     return packed.select(
         "event_id",
-        D.datetime_value(F.col("old")).alias("old"),
+        D.datetime_value(D.number_le(F.col("old"))).alias("old"),
         D.datetime_v2_value(F.col("v2_0"), 0).alias("whole"),
         D.datetime_v2_value(F.col("v2_3"), 3).alias("ms"),
         us.alias("us"),
         D.as_long(us).alias("long_ms"),
         D.as_long(us, micros=True).alias("long_us"),
         D.timestamp_v2_value(F.col("stamp"), 6).cast("timestamp_ntz").alias("moment"),
-        D.timestamp_value(F.col("old_stamp")).cast("timestamp_ntz").alias("old_moment"),
+        D.timestamp_value(D.number_le(F.col("old_stamp"))).cast("timestamp_ntz").alias("old_moment"),
         D.timestamp_v2_value(F.col("stamp"), 6, D.TimeOptions(zone="Asia/Shanghai")).cast("timestamp_ntz").alias("shifted"),
     )
 
@@ -173,7 +173,7 @@ def decode_times(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey",
         "l_linenumber",
         "l_partkey",
-        D.time_micros(F.col("old")).alias("old"),
+        D.time_micros(D.signed_le(F.col("old"), 3)).alias("old"),
         D.time_v2_micros(F.col("signed"), 0).alias("signed"),
     )
 
@@ -197,8 +197,8 @@ def decode_enum_set(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey",
         "l_linenumber",
         "l_partkey",
-        D.enum_label(D.flags_le(F.col("flag"), 1), labels).alias("flag"),
-        F.array_join(D.set_labels(D.flags_le(F.col("flags"), 2), labels), ",").alias("flags"),
+        D.enum_label(D.number_le(F.col("flag")), labels).alias("flag"),
+        F.array_join(D.set_labels(D.number_le(F.col("flags")), labels), ",").alias("flags"),
     )
 
 

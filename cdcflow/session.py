@@ -10,9 +10,11 @@ from pyspark.sql import SparkSession
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Set the runtime options that results depend on; leaves sizing to the cluster."""
+    """Set the options that results and generated code depend on; leaves sizing to the cluster."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    # The JVM leaves methods above 8000 bytes uncompiled; Spark then had better use small ones.
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
     return spark
 
 
