@@ -8,9 +8,12 @@ Chunk columns go from coarse to fine, so the carrying rows can be cut up again t
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+_COARSE, _FINE = "_coarse", "_fine"
 _CHUNK_VALUE = "_chunk_value"
 _CARRIED = "_carried"
 _FROM_EARLIER = "_from_earlier"
@@ -36,6 +39,19 @@ def last_value(
     return _running(df, keys, chunks, order, value, out, _LAST, inclusive)
 
 
+def block(number: Column, size: int) -> Column:
+    """Which block of ``size`` consecutive whole numbers a number lies in."""
+    return F.call_function("div", number, F.lit(size))
+
+
+def blocks(number: Column, size: int) -> dict[str, Column]:
+    """Two chunk columns, coarse and fine, for an order by whole numbers."""
+    return {_COARSE: block(number, size * size), _FINE: block(number, size)}
+
+
+CHUNKS = [_COARSE, _FINE]
+
+
 class _SUM:
     over = staticmethod(lambda value, order: F.sum(value))
     of_chunk = staticmethod(lambda value, order: F.sum(value))
@@ -56,7 +72,9 @@ def _running(df, keys, chunks, order, value, out, kind, inclusive):
     here = kind.over(value, order).over(upto)
     if not chunks:
         return df.withColumn(out, here)
-    per_chunk = df.groupBy(*group).agg(kind.of_chunk(value, order).alias(_CHUNK_VALUE))
+    # Said outright so that both uses of the chunk rows have the same plan and share its shuffle.
+    has_key = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in group])
+    per_chunk = df.where(has_key).groupBy(*group).agg(kind.of_chunk(value, order).alias(_CHUNK_VALUE))
     earlier = _running(
         per_chunk, keys, chunks[:-1], chunks[-1:], F.col(_CHUNK_VALUE), _CARRIED, kind, inclusive=False
     ).select(*group, F.struct(_CARRIED).alias(_FROM_EARLIER))

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cdcflow.config import DEFAULT_PAGE_SIZE, DEFAULT_WAIT_MS, NON_TIME_SUFFIX
-from cdcflow.operators.ordered import running_sum
+from cdcflow.operators.ordered import CHUNKS, block, running_sum
 
 
 def page_order(update_time: str, primary_key: list[str]) -> list[Column]:
@@ -124,13 +124,12 @@ def offset_page(
     Rows are counted per block of keys first; only the blocks that hold the page are sorted. As
     each such block adds a row to the page, there are at most ``page_size`` of them to send out.
     """
-    coarse, fine = "_coarse", "_fine"
-    block = F.floor(F.col(primary_key) / rows_per_chunk)
-    counts = table.groupBy(block.alias(fine)).agg(F.count("*").alias("_n"))
-    counts = counts.withColumn(coarse, F.floor(F.col(fine) / rows_per_chunk))
+    coarse, fine = CHUNKS
+    counts = table.groupBy(block(F.col(primary_key), rows_per_chunk).alias(fine)).agg(F.count("*").alias("_n"))
+    counts = counts.withColumn(coarse, block(F.col(fine), rows_per_chunk))
     ends = running_sum(counts, [], [coarse], [fine], F.col("_n"), "_end")
     holding = ends.where((F.col("_end") > offset) & (F.col("_end") - F.col("_n") < offset + page_size))
-    rows = table.withColumn(fine, block).join(
+    rows = table.withColumn(fine, block(F.col(primary_key), rows_per_chunk)).join(
         F.broadcast(holding.select(fine, (F.col("_end") - F.col("_n")).alias("_before"))), fine
     )
     place = F.row_number().over(Window.partitionBy(fine).orderBy(primary_key)) + F.col("_before")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cdcflow.config import (
     BINLOG_FILE_NAME,
@@ -35,21 +36,26 @@ def progress_keys(primary_key: list[str], update_time: str | None, text_of) -> C
 def latest_offsets(log: DataFrame, primary_key: list[str], update_time: str | None) -> DataFrame:
     """Per table, the place and key values of its last event.
 
-    The newest event is found by position alone before its values are put together, so a hot
-    table shrinks to one row per task ahead of the shuffle.
+    A hot table shrinks to one row per task ahead of the shuffle; texts are made of what is left.
     """
     wanted = [*primary_key, *([update_time] if update_time else [])]
-    texts = dict(zip(wanted, emit_columns(log, wanted)))
+    image = log.schema["after"].dataType
+    kept = F.col("after") if isinstance(image, T.MapType) else F.struct(*[F.col("after")[c].alias(c) for c in wanted])
     newest = log.groupBy("db_table").agg(
         F.max_by(
-            F.struct("binlog_file", "binlog_pos", "event_ts_ms", "gtid", *texts.values()),
+            F.struct("binlog_file", "binlog_pos", "event_ts_ms", "gtid", kept.alias("after")),
             F.struct(file_number(F.col("binlog_file")), "binlog_pos", "row_seq"),
         ).alias("at")
     )
-    return newest.select(
+    rows = newest.select("db_table", "at.*")
+    rows = rows.select("*", F.struct(*emit_columns(rows, wanted)).alias("texts"))
+    return rows.select(
         "db_table",
-        progress_keys(primary_key, update_time, lambda c: F.col("at")[c]).alias("info"),
-        *[F.col("at")[c].alias(c) for c in ("binlog_file", "binlog_pos", "event_ts_ms", "gtid")],
+        progress_keys(primary_key, update_time, lambda c: F.col("texts")[c]).alias("info"),
+        "binlog_file",
+        "binlog_pos",
+        "event_ts_ms",
+        "gtid",
     )
 
 

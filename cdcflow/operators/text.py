@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cdcflow.functions.text import split_words
-from cdcflow.operators.ordered import running_sum
+from cdcflow.operators.ordered import CHUNKS, blocks, running_sum
 
 
 def word_rows(lines: DataFrame, text: str, keep: list[str] | None = None) -> DataFrame:
@@ -24,10 +24,5 @@ def word_count(lines: DataFrame, text: str) -> DataFrame:
 
 def running_word_count(lines: DataFrame, text: str, line_id: str, lines_per_chunk: int = 1_000) -> DataFrame:
     """The count of each word so far, at every occurrence, in line and token order."""
-    tokens = word_rows(lines, text, [line_id]).withColumns(
-        {
-            "_coarse": F.floor(F.col(line_id) / (lines_per_chunk * lines_per_chunk)),
-            "_fine": F.floor(F.col(line_id) / lines_per_chunk),
-        }
-    )
-    return running_sum(tokens, ["word"], ["_coarse", "_fine"], [line_id, "pos"], F.lit(1), "n").drop("_coarse", "_fine")
+    tokens = word_rows(lines, text, [line_id]).withColumns(blocks(F.col(line_id), lines_per_chunk))
+    return running_sum(tokens, ["word"], CHUNKS, [line_id, "pos"], F.lit(1), "n").drop(*CHUNKS)

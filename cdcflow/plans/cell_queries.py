@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cdcflow.functions import decode as D
 from cdcflow.plans import packing as K
-from cdcflow.plans.registry import query, table
+from cdcflow.plans.registry import query, spread_table
 
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 FLAGS = ["A", "N", "R"]
@@ -32,7 +32,7 @@ def decode_integers(spark: SparkSession, sf_dir: str) -> DataFrame:
         "long": (F.col("l_orderkey") - 8000, 4),
         "longlong": (-F.col("l_orderkey") * 1_000_000_007, 8),
     }
-    lines = table(spark, sf_dir, "lineitem")
+    lines = spread_table(spark, sf_dir, "lineitem")
     packed = lines.select(
         "l_orderkey",
         "l_linenumber",
@@ -58,7 +58,7 @@ def decode_integers(spark: SparkSession, sf_dir: str) -> DataFrame:
 FROM orders"""
 )
 def decode_decimals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders")
+    orders = spread_table(spark, sf_dir, "orders")
     price = (F.col("o_totalprice") - 250000).cast("decimal(15,2)")
     whole = (F.col("o_orderkey") - 7000).cast("decimal(15,0)") * F.lit(1_000_000_007).cast("decimal(10,0)")
     sign = F.when(whole < 0, -1).otherwise(1)
@@ -84,7 +84,7 @@ def decode_decimals(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def decode_floats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Doubles and floats packed by Arrow batches, as Spark has no bit cast."""
-    lines = table(spark, sf_dir, "lineitem").select(
+    lines = spread_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", (F.col("l_discount") - 0.05).alias("discount"), "l_tax"
     )
 
@@ -117,7 +117,7 @@ FROM orders"""
 )
 def decode_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = F.when(_mod("o_orderkey", 11) == 0, K.little_endian(F.lit(0), 3)).otherwise(K.packed_date(F.col("o_orderdate")))
-    packed = table(spark, sf_dir, "orders").select("o_orderkey", raw.alias("raw"))
+    packed = spread_table(spark, sf_dir, "orders").select("o_orderkey", raw.alias("raw"))
     return packed.select(
         "o_orderkey",
         D.date_value(D.number_le(F.col("raw"))).alias("ordered"),
@@ -134,7 +134,7 @@ FROM events"""
 )
 def decode_datetimes(spark: SparkSession, sf_dir: str) -> DataFrame:
     ts = F.col("ts")
-    packed = table(spark, sf_dir, "events").select(
+    packed = spread_table(spark, sf_dir, "events").select(
         "event_id",
         K.packed_datetime(ts).alias("old"),
         *[K.packed_datetime_v2(ts, n).alias(f"v2_{n}") for n in (0, 3, 6)],
@@ -162,7 +162,7 @@ def decode_datetimes(spark: SparkSession, sf_dir: str) -> DataFrame:
        (l_partkey * 1511 % 6000000 - 3000000) * 1000000 AS signed FROM lineitem"""
 )
 def decode_times(spark: SparkSession, sf_dir: str) -> DataFrame:
-    packed = table(spark, sf_dir, "lineitem").select(
+    packed = spread_table(spark, sf_dir, "lineitem").select(
         "l_orderkey",
         "l_linenumber",
         "l_partkey",
@@ -186,7 +186,7 @@ FROM lineitem"""
 )
 def decode_enum_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = F.array(*map(F.lit, FLAGS))
-    packed = table(spark, sf_dir, "lineitem").select(
+    packed = spread_table(spark, sf_dir, "lineitem").select(
         "l_orderkey",
         "l_linenumber",
         "l_partkey",
@@ -206,7 +206,7 @@ def decode_enum_set(spark: SparkSession, sf_dir: str) -> DataFrame:
 def decode_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole texts behind length prefixes of 1, 2 and 4 bytes."""
     utf8 = lambda c: F.encode(c, "UTF-8")
-    packed = table(spark, sf_dir, "documents").select(
+    packed = spread_table(spark, sf_dir, "documents").select(
         "doc_id",
         K.prefixed(utf8("lang"), 1).alias("short"),
         K.prefixed(utf8("source"), 2).alias("middle"),
@@ -265,7 +265,7 @@ def decode_mixed_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Columns outside a row's image have no cell at all.
     extra = F.when(_mod("o_orderkey", 3) == 0, F.array(_cell("extra", "LONG", F.lit(None).cast("binary"))))
     all_cells = F.concat(F.array(*cells), F.coalesce(extra, F.slice(F.array(cells[0]), 2, 1)))
-    raw = table(spark, sf_dir, "orders").select(
+    raw = spread_table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("event_id"), F.lit(0).alias("row_seq"), F.inline(all_cells)
     )
     out = D.decode_cells(raw)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cdcflow.operators.ordered import last_value
+from cdcflow.operators.ordered import block, last_value
 from cdcflow.plans.registry import table
 
 EVENTS_PER_FILE = 400
@@ -27,7 +27,7 @@ def change_log(spark: SparkSession, sf_dir: str, before: bool = False) -> DataFr
 def changes_of(events: DataFrame, before: bool = False) -> DataFrame:
     """The same for any frame of events, streaming ones included (without ``before``)."""
     event_type, event_id = F.col("event_type"), F.col("event_id")
-    file_no = F.floor(event_id / EVENTS_PER_FILE) + 1
+    file_no = block(event_id, EVENTS_PER_FILE) + 1
     ts = F.col("ts").cast("timestamp")
     # Users of one table never have an update time, as some tables do.
     updated = F.when(F.col("user_id") % 3 != 1, ts)
@@ -52,7 +52,7 @@ def changes_of(events: DataFrame, before: bool = False) -> DataFrame:
     if not before:
         return log
     return (
-        log.withColumns({"_user": F.col("after.user_id"), "_block": F.floor(F.col("file_no") / FILES_PER_BLOCK)})
+        log.withColumns({"_user": F.col("after.user_id"), "_block": block(F.col("file_no"), FILES_PER_BLOCK)})
         .transform(
             last_value, ["_user"], ["_block", "file_no"], ["event_id"], F.col("after"), "before", inclusive=False
         )
@@ -96,14 +96,14 @@ def row_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def table_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Table maps: each id gets a new name with its first event of every few hundred."""
     log = change_log(spark, sf_dir)
-    table_id, period = F.col("after.user_id") % 3, F.floor(F.col("event_id") / EVENTS_PER_NAME)
+    table_id, period = F.col("after.user_id") % 3, block(F.col("event_id"), EVENTS_PER_NAME)
     firsts = log.groupBy(table_id.alias("n"), period.alias("period")).agg(
         F.min("event_id").alias("event_id"), F.min("event_ts_ms").alias("event_ts_ms")
     )
     return firsts.select(
         (F.col("n") + 100).alias("table_id"),
         F.concat(F.lit("app.user_"), "n", F.lit("_v"), "period").alias("db_table"),
-        F.format_string("mysql-bin.%06d", F.floor(F.col("event_id") / EVENTS_PER_FILE) + 1).alias("binlog_file"),
+        F.format_string("mysql-bin.%06d", block(F.col("event_id"), EVENTS_PER_FILE) + 1).alias("binlog_file"),
         (position(F.col("event_id")) - 1).alias("binlog_pos"),
         "event_ts_ms",
     )

@@ -9,7 +9,7 @@ from cdcflow.functions import json_flat as J
 from cdcflow.functions.values import has_text
 from cdcflow.operators import text as W
 from cdcflow.operators.nodes import flat_map
-from cdcflow.plans.registry import query, table
+from cdcflow.plans.registry import query, spread_table, table
 from cdcflow.schema import parse_declared
 
 WORD_COUNT_SQL = r"""SELECT word, count(*) AS n
@@ -39,12 +39,12 @@ def _nested(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit('},"none":null,"empty":{},"list":[],"grid":[['), (F.col("user_id") % 10).cast("string"),
         F.lit("],["), (F.col("event_id") % 10).cast("string"), F.lit(',{"ok":true}]]}'),
     )
-    return table(spark, sf_dir, "events").select("event_id", body.alias("body"))
+    return spread_table(spark, sf_dir, "events").select("event_id", body.alias("body"))
 
 
 @query(WORD_COUNT_SQL)
 def word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return W.word_count(table(spark, sf_dir, "documents"), "text")
+    return W.word_count(spread_table(spark, sf_dir, "documents"), "text")
 
 
 @query(
@@ -55,7 +55,7 @@ SELECT doc_id, CAST(pos AS INTEGER) AS pos, word,
 FROM tokens WHERE word <> ''"""
 )
 def running_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return W.running_word_count(table(spark, sf_dir, "documents"), "text", "doc_id", lines_per_chunk=100)
+    return W.running_word_count(spread_table(spark, sf_dir, "documents"), "text", "doc_id", lines_per_chunk=100)
 
 
 @query(
@@ -77,7 +77,7 @@ def flat_map_url_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT event_id, 'k' AS path, json_extract_string(props, '$.k') AS value FROM events")
 def flatten_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return J.flatten_json(table(spark, sf_dir, "events"), "props", ["event_id"], depth=2)
+    return J.flatten_json(spread_table(spark, sf_dir, "events"), "props", ["event_id"], depth=2)
 
 
 @query(NESTED_SQL + "SELECT event_id, path, value FROM paths")

@@ -14,6 +14,12 @@ from cdcflow.schema import resolve_columns
 _TABLE_TOKEN = re.compile(r"\$\{(.*?)\}")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Repartition a scan that has fewer tasks than the cluster has cores; others stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def jdbc_options(options: CaptureOptions, table: str | None = None, query: str | None = None) -> dict[str, str]:
     """Reader options for a table or a query. The driver class follows from the URL."""
     if (table is None) == (query is None):
