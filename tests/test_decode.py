@@ -91,18 +91,18 @@ def test_floats(spark):
     assert decoded(spark, "double_value", *[("FLOAT", 0, 0, struct.pack("<f", v)) for v in singles]) == singles
 
 
-@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(st.lists(st.floats(allow_nan=False, width=64), min_size=1, max_size=40))
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.floats(allow_nan=False, width=64), min_size=20, max_size=200))
 def test_any_double(spark, values):
     got = decoded(spark, "double_value", *[("DOUBLE", 0, 0, struct.pack("<d", v)) for v in values])
     assert [struct.pack("<d", v) for v in got] == [struct.pack("<d", v) for v in values]
 
 
-@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.data())
 def test_any_decimal(spark, data):
     items, texts = [], []
-    for _ in range(20):
+    for _ in range(60):
         precision = data.draw(st.integers(1, 65))
         scale = data.draw(st.integers(0, min(30, precision)))
         number = data.draw(st.integers(-(10**precision) + 1, 10**precision - 1))

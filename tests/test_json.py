@@ -73,8 +73,8 @@ SCALARS = st.none() | st.booleans() | st.integers(-(10**12), 10**12) | st.text("
 TREES = st.recursive(SCALARS, lambda t: st.lists(t, max_size=3) | st.dictionaries(NAMES, t, max_size=3), max_leaves=8)
 
 
-@settings(max_examples=20, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(st.lists(st.dictionaries(NAMES, TREES, max_size=3), min_size=1, max_size=10))
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.dictionaries(NAMES, TREES, max_size=3), min_size=10, max_size=40))
 def test_any_document(spark, documents):
     df = spark.createDataFrame([(i, json.dumps(d)) for i, d in enumerate(documents)], "id int, body string")
     got = {}
