@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cdcflow.functions.values import file_number, value_text, wall_clock_as_local
-from cdcflow.operators.joins import broadcast_if_small
+from cdcflow.operators.joins import lookup_join
 from cdcflow.operators.ordered import last_value
 
 # Operation codes.
@@ -103,7 +103,7 @@ def named_images(row_events: DataFrame, catalog: DataFrame) -> tuple[DataFrame,
     and deletes must have exactly the table's columns. Updates may carry extra cells, which are
     not named, but not fewer. A table without a catalog entry is not registered and is left out.
     """
-    joined = row_events.join(broadcast_if_small(catalog_names(catalog)), "db_table")
+    joined = lookup_join(row_events, catalog_names(catalog), ["db_table"], rows=catalog.count())
     width = F.size("_names")
     is_insert, is_delete, is_update = (F.col("op") == o for o in ("insert", "delete", "update"))
     fits = F.coalesce(

@@ -7,15 +7,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BROADCAST_ROWS = 100_000
+LOOKUP_SALT = 16
 _SALT = "_salt"
 _SALTABLE = {"inner", "left", "left_outer", "leftouter", "semi", "left_semi", "leftsemi", "anti", "left_anti", "leftanti"}
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark for broadcast only after counting, and only up to ``max_rows`` rows."""
-    return F.broadcast(df) if df.count() <= max_rows else df
-
-
 def row_salt(df: DataFrame, salt: int) -> Column:
     """0 to ``salt`` - 1 from the row itself, so that a task run again gives the same."""
     simple = [f.name for f in df.schema.fields if isinstance(f.dataType, T.AtomicType)]
@@ -36,3 +32,16 @@ def equi_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inne
     spread = left.withColumn(_SALT, row_salt(left, salt))
     repeated = right.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salt - 1)).cast("array<bigint>")))
     return spread.join(repeated, [*on, _SALT], how).drop(_SALT)
+
+
+def lookup_join(
+    df: DataFrame, side: DataFrame, on: list[str], how: str = "inner", rows: int | None = None, salt: int = LOOKUP_SALT
+) -> DataFrame:
+    """Join a large frame with a side that is usually small.
+
+    The side is broadcast only if it is counted small (``rows`` gives the count where it is known
+    from elsewhere); beyond that the keys of the large frame are salted and both sides shuffled.
+    """
+    if (side.count() if rows is None else rows) <= BROADCAST_ROWS:
+        return df.join(F.broadcast(side), on, how)
+    return equi_join(df, side, on, how, salt)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cdcflow.functions.conditions import condition
-from cdcflow.operators.joins import broadcast_if_small, equi_join  # noqa: F401  (JOIN node)
+from cdcflow.operators.joins import equi_join, lookup_join  # noqa: F401  (equi_join is the JOIN node)
 
 # The node kinds.
 NODE_KINDS = [
@@ -78,9 +78,14 @@ def route(df: DataFrame, rules: list[tuple[Column, str]], default: str | None =
     return df.withColumn("_route_path", chain.otherwise(F.lit(default)))
 
 
-def dynamic_filter(df: DataFrame, keys: DataFrame, on: list[str], salt: int = 1) -> DataFrame:
+def flat_map_with(df: DataFrame, table_function: Callable, *columns: str) -> DataFrame:
+    """Rows of a table function for each input row, for custom code; ``columns`` are its arguments."""
+    return df.lateralJoin(table_function(*[F.col(c).outer() for c in columns]))
+
+
+def dynamic_filter(df: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
     """Rows whose key occurs in another frame."""
-    return equi_join(df, broadcast_if_small(keys.select(*on)), on, "left_semi", salt)
+    return lookup_join(df, keys.select(*on), on, "left_semi")
 
 
 def data_quality(df: DataFrame, rules: Mapping[str, Column], by: list[str] | None = None) -> DataFrame:

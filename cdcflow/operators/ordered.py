@@ -3,7 +3,8 @@
 A plain window puts all rows of a key into one task. Here the order is cut into chunks by
 columns that never decrease along it (a log file, a block of ids). Rows meet only the rows of
 their own key and chunk; one small row per key and chunk carries the value over to later chunks.
-Chunk columns go from coarse to fine, so the carrying rows can be cut up again the same way.
+Chunk columns go from coarse to fine, so the carrying rows can be cut up again the same way. A
+chunk's number occurs once in the whole order: it is not counted anew in each coarser chunk.
 """
 
 from __future__ import annotations
@@ -65,7 +66,8 @@ class _LAST:
 
 
 def _running(df, keys, chunks, order, value, out, kind, inclusive):
-    group = keys + chunks
+    *outer, chunk = chunks or [None]
+    group = keys + chunks[-1:]
     upto = Window.partitionBy(*group).orderBy(*order).rowsBetween(
         Window.unboundedPreceding, 0 if inclusive else -1
     )
@@ -73,10 +75,14 @@ def _running(df, keys, chunks, order, value, out, kind, inclusive):
     if not chunks:
         return df.withColumn(out, here)
     # Said outright so that both uses of the chunk rows have the same plan and share its shuffle.
-    has_key = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in group])
-    per_chunk = df.where(has_key).groupBy(*group).agg(kind.of_chunk(value, order).alias(_CHUNK_VALUE))
+    has_key = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in group + outer])
+    per_chunk = (
+        df.where(has_key)
+        .groupBy(*group)
+        .agg(kind.of_chunk(value, order).alias(_CHUNK_VALUE), *[F.min(c).alias(c) for c in outer])
+    )
     earlier = _running(
-        per_chunk, keys, chunks[:-1], chunks[-1:], F.col(_CHUNK_VALUE), _CARRIED, kind, inclusive=False
+        per_chunk, keys, outer, [chunk], F.col(_CHUNK_VALUE), _CARRIED, kind, inclusive=False
     ).select(*group, F.struct(_CARRIED).alias(_FROM_EARLIER))
     # Every row has its chunk's row; none is found only where a key is null.
     carried = F.coalesce(

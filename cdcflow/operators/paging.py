@@ -80,6 +80,17 @@ def page_progress(
     return out
 
 
+def new_rows(
+    table: DataFrame, update_time: str, primary_key: list[str], saved: Mapping[str, str] | None = None
+) -> tuple[DataFrame, dict[str, str]]:
+    """All rows after saved progress as one parallel read, and the progress after them.
+
+    What the pages hold together, for tables too large to be paged through.
+    """
+    rows = table.where(rows_after(table, update_time, primary_key, saved)) if saved else table
+    return rows, page_progress(rows, update_time, primary_key, saved)
+
+
 def keyset_pages(
     read: Callable[[], DataFrame],
     update_time: str,

@@ -15,7 +15,7 @@ from cdcflow.config import (
 )
 from cdcflow.functions.values import file_number, has_text
 from cdcflow.operators.changelog import emit_columns
-from cdcflow.operators.joins import equi_join
+from cdcflow.operators.joins import lookup_join
 
 # Queue size a backlog is measured against, and the alert level.
 BACKLOG_CAPACITY = 10_000
@@ -110,6 +110,6 @@ def backlog_alerts(
     return levels.withColumn("state", state).where(F.col("state").isNotNull())
 
 
-def fan_out(log: DataFrame, handlers: DataFrame, salt: int = 1) -> DataFrame:
+def fan_out(log: DataFrame, handlers: DataFrame) -> DataFrame:
     """Each event once per handler registered for its table."""
-    return equi_join(log, handlers, ["db_table"], "inner", salt)
+    return lookup_join(log, handlers, ["db_table"])

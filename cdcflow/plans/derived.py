@@ -36,7 +36,7 @@ def changes_of(events: DataFrame, before: bool = False) -> DataFrame:
         F.when(event_type == "signup", "insert").when(event_type == "error", "delete").otherwise("update").alias("op"),
         F.concat(F.lit("app.user_"), F.col("user_id") % 3).alias("db_table"),
         file_no.alias("file_no"),
-        F.format_string("mysql-bin.%06d", file_no).alias("binlog_file"),
+        file_name(file_no).alias("binlog_file"),
         position(event_id).alias("binlog_pos"),
         F.lit(0).alias("row_seq"),
         F.unix_millis(ts).alias("event_ts_ms"),
@@ -60,6 +60,11 @@ def changes_of(events: DataFrame, before: bool = False) -> DataFrame:
     )
 
 
+def file_name(number: Column) -> Column:
+    text = number.cast("string")
+    return F.concat(F.lit("mysql-bin."), F.lpad(text, F.greatest(F.length(text), F.lit(6)), "0"))
+
+
 def position(event_id: Column) -> Column:
     return event_id % EVENTS_PER_FILE * 100 + 4
 
@@ -103,7 +108,7 @@ def table_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return firsts.select(
         (F.col("n") + 100).alias("table_id"),
         F.concat(F.lit("app.user_"), "n", F.lit("_v"), "period").alias("db_table"),
-        F.format_string("mysql-bin.%06d", block(F.col("event_id"), EVENTS_PER_FILE) + 1).alias("binlog_file"),
+        file_name(block(F.col("event_id"), EVENTS_PER_FILE) + 1).alias("binlog_file"),
         (position(F.col("event_id")) - 1).alias("binlog_pos"),
         "event_ts_ms",
     )

@@ -21,7 +21,7 @@ from cdcflow.plans.derived import (
     table_maps,
 )
 from cdcflow.plans.registry import query, table
-from cdcflow.sources.tables import column_catalog
+from cdcflow.schema import COLUMN_CATALOG
 
 ZONE = "Asia/Shanghai"
 ZONE_OFFSET_MS = 28_800_000
@@ -111,14 +111,8 @@ def _catalog(spark: SparkSession) -> DataFrame:
     """Column order differs between tables; ``user_9`` occurs in no event."""
     names = {t: ["user_id", "event_type", "payload"] for t in ("user_0", "user_1", "user_9")}
     names["user_2"] = ["id", "kind", "body"]
-    frames = [
-        column_catalog(spark.createDataFrame([], ", ".join(f"{c} string" for c in cols)), "app", t)
-        for t, cols in names.items()
-    ]
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+    rows = [("app", t, c, i, "string") for t, columns in names.items() for i, c in enumerate(columns)]
+    return spark.createDataFrame(rows, COLUMN_CATALOG)
 
 
 @query(
@@ -266,7 +260,7 @@ def handler_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     handlers = spark.createDataFrame(
         [("app.user_0", "audit"), ("app.user_0", "search"), ("app.user_2", "audit")], "db_table string, handler string"
     )
-    return P.fan_out(change_log(spark, sf_dir), handlers, salt=4).select("event_id", "db_table", "handler")
+    return P.fan_out(change_log(spark, sf_dir), handlers).select("event_id", "db_table", "handler")
 
 
 @query(f"WITH {LOG_SQL} SELECT event_id, binlog_file, binlog_pos, event_ts_ms, gtid FROM log")

@@ -71,6 +71,22 @@ def rows_after_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.where(paging.rows_after(orders, TIME, KEYS, SAVED))
 
 
+@query(
+    f"""WITH {ORDERS_SQL},
+fresh AS (SELECT * FROM o WHERE (o_updated = TIMESTAMP '1996-03-01' AND o_orderkey > 700)
+  OR o_updated > TIMESTAMP '1996-03-01' OR (o_updated IS NULL AND o_orderkey > 1400)),
+last_timed AS (SELECT * FROM fresh WHERE o_updated IS NOT NULL ORDER BY o_updated DESC, o_orderkey DESC LIMIT 1)
+SELECT (SELECT count(*) FROM fresh) AS n, CAST(o_orderkey AS VARCHAR) AS o_orderkey,
+       strftime(o_updated, '%Y-%m-%d %H:%M:%S') AS o_updated,
+       CAST(coalesce((SELECT max(o_orderkey) FROM fresh WHERE o_updated IS NULL), 1400) AS VARCHAR) AS "o_orderkeyNonTime"
+FROM last_timed"""
+)
+def progress_after_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many rows a scan finds after saved progress, and the progress it leaves."""
+    rows, progress = paging.new_rows(_orders(spark, sf_dir), TIME, KEYS, SAVED)
+    return rows.agg(F.count("*").alias("n")).select("n", *[F.lit(v).alias(k) for k, v in progress.items()])
+
+
 @query("SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 100 OFFSET 1300")
 def offset_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -28,6 +28,18 @@ def each_batch(
     return _start(rows.writeStream.foreachBatch(handle).outputMode(mode), checkpoint, once)
 
 
+def by_table(handlers: Mapping[str, Iterable[Callable[[DataFrame, int], None]]]) -> Callable[[DataFrame, int], None]:
+    """A batch handler that gives each table's events to all handlers registered for it."""
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        for db_table, functions in handlers.items():
+            events = batch.where(F.col("db_table") == db_table)
+            for fn in functions:
+                fn(events, batch_id)
+
+    return handle
+
+
 def _start(writer, checkpoint: str, once: bool) -> StreamingQuery:
     writer = writer.option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()

@@ -4,7 +4,8 @@ from pyspark.sql import functions as F
 
 from cdcflow import sinks
 from cdcflow.operators import nodes as N
-from cdcflow.operators.joins import broadcast_if_small, equi_join
+from cdcflow.operators import joins
+from cdcflow.operators.joins import equi_join
 from cdcflow.session import shared_dir
 
 
@@ -73,13 +74,15 @@ def test_unsaltable_join(spark):
         equi_join(spark.range(1), spark.range(1), ["id"], "full", salt=2)
 
 
-def test_broadcast_is_bound(spark):
+def test_broadcast_is_bound(spark, monkeypatch):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         big = spark.range(100)
-        assert "BroadcastHashJoin" in plan(big.join(broadcast_if_small(spark.range(10), 10), "id"))
-        assert "BroadcastHashJoin" not in plan(big.join(broadcast_if_small(spark.range(11), 10), "id"))
         assert "BroadcastHashJoin" in plan(N.dynamic_filter(big, spark.range(5), ["id"]))
+        monkeypatch.setattr(joins, "BROADCAST_ROWS", 4)
+        beyond = N.dynamic_filter(big, spark.range(5), ["id"])
+        assert "BroadcastHashJoin" not in plan(beyond) and "_salt" in plan(beyond)
+        assert rows(beyond) == [(i,) for i in range(5)]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
@@ -121,3 +124,16 @@ def test_typed_columns(spark):
 
 def test_json_rows(spark):
     assert [r[0] for r in sinks.json_rows(frame(spark)).collect()][2:] == ['{"s":"c"}', '{"n":3}']
+
+
+def test_custom_table_function(spark):
+    from pyspark.sql.functions import udtf
+
+    @udtf(returnType="part string, size int")
+    class Parts:
+        def eval(self, text: str):
+            for part in (text or "").split("-"):
+                yield part, len(part)
+
+    df = spark.createDataFrame([(1, "a-bc"), (2, "d")], "id int, s string")
+    assert rows(N.flat_map_with(df, Parts, "s"), "id", "part", "size") == [(1, "a", 1), (1, "bc", 2), (2, "d", 1)]

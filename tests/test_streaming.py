@@ -109,7 +109,11 @@ def test_handlers_get_batches(spark):
     seen = []
     stream = stream_changes(spark, f"{work}/in").where(F.col("db_table") == "app.a")
     jobs.each_batch(stream, lambda df, i: seen.append((i, df.count())), f"{work}/check").awaitTermination()
-    assert seen == [(0, batches(spark)[0].where("db_table = 'app.a'").count())]
+    wanted = batches(spark)[0].where("db_table = 'app.a'").count()
+    assert seen == [(0, wanted)]
+    by_table = jobs.by_table({"app.a": [lambda df, i: seen.append(df.count())] * 2, "app.z": [lambda df, i: seen.append(df.count())]})
+    jobs.each_batch(stream_changes(spark, f"{work}/in"), by_table, f"{work}/check2").awaitTermination()
+    assert seen[1:] == [wanted, wanted, 0]
 
 
 def test_shared_dir(spark, monkeypatch):
