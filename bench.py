@@ -29,6 +29,7 @@ HEADLINE = [
     "decode_integers",
     "decode_decimals",
     "decode_datetimes",
+    "decode_table_columns",
     "decode_mixed_cells",
     "keyed_agg",
     "join_inner",

@@ -410,6 +410,58 @@ def expand_string_meta(cells: DataFrame) -> DataFrame:
     )
 
 
+# -- one table's columns ----------------------------------------------------------------------
+
+
+def cell_value(raw: Column, mysql_type: str, meta: int = 0, times: TimeOptions = TimeOptions()) -> Column:
+    """One column's cells, typed. The type is looked up here, not per row; an unknown one is an error.
+
+    ``meta`` is as in ``raw_cell``; for STRING it may stand for ENUM, SET or a long CHAR.
+    """
+    number = number_le(raw)
+    high, low = meta >> 8, meta & 255
+    if mysql_type == "STRING" and meta >= 256:
+        long_char = high & 0x30 != 0x30
+        code = high | 0x30 if long_char else high
+        names = {v: k for k, v in TYPE_CODES.items()}
+        if long_char or names.get(code) in ("ENUM", "SET"):
+            mysql_type = names.get(code, f"CODE_{code}")
+        meta = low | (((high & 0x30) ^ 0x30) << 4 if long_char else 0)
+    if mysql_type in INTEGER_BYTES:
+        size = INTEGER_BYTES[mysql_type]
+        return fold_sign(number, size).cast("bigint" if size == 8 else "int")
+    if mysql_type in BLOBS:
+        return payload(raw, meta)
+    if mysql_type in (*VARIABLE_TEXT, "STRING"):
+        return F.decode(payload(raw, 1 if meta < 256 else 2), "UTF-8")
+    by_type: dict[str, Callable[[], Column]] = {
+        "BIT": lambda: bits(raw),
+        "YEAR": lambda: year_value(number).cast("int"),
+        "ENUM": lambda: number.cast("int"),
+        "SET": lambda: number,
+        "FLOAT": lambda: float_value(number),
+        "DOUBLE": lambda: double_value(number),
+        "NEWDECIMAL": lambda: decimal_value(raw, low, high),
+        "DATE": lambda: date_value(number, times),
+        "TIME": lambda: time_micros(fold_sign(number, 3)),
+        "TIME_V2": lambda: time_v2_micros(raw, meta, times),
+        "TIMESTAMP": lambda: timestamp_value(number),
+        "TIMESTAMP_V2": lambda: timestamp_v2_value(raw, meta, times),
+        "DATETIME": lambda: datetime_value(number, times),
+        "DATETIME_V2": lambda: datetime_v2_value(raw, meta, times),
+    }
+    if mysql_type not in by_type:
+        raise ValueError(f"unsupported type {mysql_type}")
+    return by_type[mysql_type]()
+
+
+def decode_columns(
+    df: DataFrame, types: dict[str, tuple[str, int]], times: TimeOptions = TimeOptions()
+) -> DataFrame:
+    """Replace a table's packed columns by typed ones; ``types`` gives (MySQL type, meta) by name."""
+    return df.withColumns({name: cell_value(F.col(name), *type_, times) for name, type_ in types.items()})
+
+
 # -- all cells in one pass --------------------------------------------------------------------
 
 
@@ -502,3 +554,24 @@ def decode_cells(
             "bytes_value": as_bytes,
         }
     ).drop("_n", "_us", "_time_v2", "_date", "_seconds")
+
+
+def cell_text(micros: bool = False) -> Column:
+    """Emitted text of a decoded cell: date-times as epoch ms, bytes as UTF-8, times as microseconds."""
+    return F.coalesce(
+        F.col("int_value").cast("string"),
+        F.col("decimal_text"),
+        F.col("double_value").cast("string"),
+        F.col("date_value").cast("string"),
+        as_long(F.col("datetime_value"), micros).cast("string"),
+        as_long(F.col("ts_value"), micros).cast("string"),
+        F.col("time_us").cast("string"),
+        F.col("text_value"),
+        F.decode("bytes_value", "UTF-8"),
+    )
+
+
+def row_images(decoded: DataFrame, by: list[str]) -> DataFrame:
+    """The cells of each row as one map of text by column; a row has no more cells than its table columns."""
+    cell = F.struct("column_name", cell_text().alias("text"))
+    return decoded.groupBy(*by).agg(F.map_from_entries(F.collect_list(cell)).alias("image"))

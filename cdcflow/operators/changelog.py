@@ -43,8 +43,15 @@ def from_position(log: DataFrame, binlog_file: str | None, position: int = 0) ->
 
 
 def from_timestamp(log: DataFrame, start_ms: int | None) -> DataFrame:
-    """Events not strictly older than the start; no start keeps all."""
-    return log if start_ms is None else log.where(F.col("event_ts_ms") >= start_ms)
+    """Events not strictly older than the start; no start keeps all.
+
+    In a log landed by day, the days before the start are not read.
+    """
+    if start_ms is None:
+        return log
+    if "event_date" in log.columns:
+        log = log.where(F.col("event_date") >= F.to_date(F.timestamp_millis(F.lit(start_ms))))
+    return log.where(F.col("event_ts_ms") >= start_ms)
 
 
 def gtid_in_set(gtid: Column, gtid_set: str) -> Column:
@@ -134,7 +141,8 @@ def effective_image() -> Column:
 
 def op_code() -> Column:
     """1 insert, 2 update, 3 delete, else null."""
-    return reduce(lambda chain, kv: chain.when(F.col("op") == kv[0], kv[1]), list(OP_CODES.items())[1:], F.when(F.col("op") == "insert", 1))
+    codes = F.create_map(*[F.lit(v) for pair in OP_CODES.items() for v in pair])
+    return F.try_element_at(codes, F.col("op"))
 
 
 # -- to output rows ---------------------------------------------------------------------------

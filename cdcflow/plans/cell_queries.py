@@ -232,8 +232,7 @@ def _cell(name: str, mysql_type: str, raw: Column, meta: int | Column = 0, lengt
     )
 
 
-@query(
-    """SELECT o_orderkey AS event_id, 'key' AS column_name, CAST(o_orderkey AS VARCHAR) AS value FROM orders
+MIXED_SQL = """SELECT o_orderkey AS event_id, 'key' AS column_name, CAST(o_orderkey AS VARCHAR) AS value FROM orders
 UNION ALL SELECT o_orderkey, 'price', CAST(CAST(o_totalprice AS DECIMAL(15,2)) AS VARCHAR) FROM orders
 UNION ALL SELECT o_orderkey, 'day', CAST(CAST(o_orderdate AS DATE) AS VARCHAR) FROM orders
 UNION ALL SELECT o_orderkey, 'at', CAST(epoch_us(o_orderdate) // 1000 AS VARCHAR) FROM orders
@@ -242,9 +241,10 @@ UNION ALL SELECT o_orderkey, 'status', o_orderstatus FROM orders
 UNION ALL SELECT o_orderkey, 'priority', CAST(CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS VARCHAR) FROM orders
 UNION ALL SELECT o_orderkey, 'note', CASE WHEN o_orderkey % 5 <> 0 THEN o_orderpriority END FROM orders
 UNION ALL SELECT o_orderkey, 'extra', NULL FROM orders WHERE o_orderkey % 3 = 0"""
-)
-def decode_mixed_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All cells of many rows in one frame, decoded by their own type and metadata."""
+
+
+def _mixed_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All cells of many rows in one frame, each with its own type and metadata."""
     text = lambda c: F.encode(c, "UTF-8")
     price_meta = F.when(_mod("o_orderkey", 2) == 0, (2 << 8) | 15).otherwise((2 << 8) | 20)
     price = F.col("o_totalprice").cast("decimal(15,2)")
@@ -265,16 +265,53 @@ def decode_mixed_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Columns outside a row's image have no cell at all.
     extra = F.when(_mod("o_orderkey", 3) == 0, F.array(_cell("extra", "LONG", F.lit(None).cast("binary"))))
     all_cells = F.concat(F.array(*cells), F.coalesce(extra, F.slice(F.array(cells[0]), 2, 1)))
-    raw = spread_table(spark, sf_dir, "orders").select(
+    return spread_table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("event_id"), F.lit(0).alias("row_seq"), F.inline(all_cells)
     )
-    out = D.decode_cells(raw)
-    value = F.coalesce(
-        F.col("int_value").cast("string"),
-        "decimal_text",
-        F.col("date_value").cast("string"),
-        D.as_long(F.col("datetime_value")).cast("string"),
-        D.as_long(F.col("ts_value")).cast("string"),
-        "text_value",
+
+
+@query(MIXED_SQL)
+def decode_mixed_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return D.decode_cells(_mixed_cells(spark, sf_dir)).select("event_id", "column_name", D.cell_text().alias("value"))
+
+
+@query(
+    """SELECT o_orderkey AS event_id, CASE WHEN o_orderkey % 3 = 0 THEN 9 ELSE 8 END AS cells,
+       CAST(CAST(o_totalprice AS DECIMAL(15,2)) AS VARCHAR) AS price, o_orderstatus AS status FROM orders"""
+)
+def images_from_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = D.row_images(D.decode_cells(_mixed_cells(spark, sf_dir)), ["event_id", "row_seq"])
+    image = F.col("image")
+    return rows.select("event_id", F.size(image).alias("cells"), image["price"].alias("price"), image["status"].alias("status"))
+
+
+@query(
+    """SELECT o_orderkey, CAST(o_custkey AS INTEGER) AS customer, CAST(CAST(o_totalprice AS DECIMAL(15,2)) AS VARCHAR) AS price,
+       o_orderdate AS ordered, CAST(o_orderdate AS DATE) AS day, o_orderstatus AS status,
+       CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS priority, o_orderpriority AS label
+FROM orders"""
+)
+def decode_table_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table's packed columns with types known beforehand."""
+    text = lambda c: F.encode(c, "UTF-8")
+    priority = F.array_position(F.array(*map(F.lit, PRIORITIES)), F.col("o_orderpriority"))
+    packed = spread_table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        K.little_endian(F.col("o_custkey"), 4).alias("customer"),
+        K.packed_decimal(F.col("o_totalprice").cast("decimal(15,2)"), 15, 2).alias("price"),
+        K.packed_datetime_v2(F.col("o_orderdate"), 0).alias("ordered"),
+        K.packed_date(F.col("o_orderdate")).alias("day"),
+        K.prefixed(text("o_orderstatus"), 1).alias("status"),
+        K.little_endian(priority, 1).alias("priority"),
+        K.prefixed(text("o_orderpriority"), 2).alias("label"),
     )
-    return out.select("event_id", "column_name", value.alias("value"))
+    types = {
+        "customer": ("LONG", 0),
+        "price": ("NEWDECIMAL", (2 << 8) | 15),
+        "ordered": ("DATETIME_V2", 0),
+        "day": ("DATE", 0),
+        "status": ("STRING", (D.TYPE_CODES["STRING"] << 8) | 4),
+        "priority": ("STRING", (D.TYPE_CODES["ENUM"] << 8) | 1),
+        "label": ("VARCHAR", 300),
+    }
+    return D.decode_columns(packed, types).withColumn("price", F.col("price").cast("string"))

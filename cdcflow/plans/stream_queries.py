@@ -80,11 +80,11 @@ def stream_capture_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     f"""WITH {LOG_SQL} SELECT event_id, db_table, event_ts_ms FROM log
-WHERE db_table = 'app.user_1' AND event_ts_ms >= {START_MS} AND ts >= TIMESTAMP '2024-01-20'"""
+WHERE db_table = 'app.user_1' AND event_ts_ms >= {START_MS}"""
 )
 def landed_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The log landed in folders by table and day, read with filters that prune them."""
     path = shared_dir(spark, "landed")
     sinks.land_changes(change_log(spark, sf_dir), path)
     log = C.from_timestamp(C.only_tables(spark.read.parquet(path), ["app.user_1"]), START_MS)
-    return log.where(F.col("event_date") >= F.lit("2024-01-20").cast("date")).select("event_id", "db_table", "event_ts_ms")
+    return log.select("event_id", "db_table", "event_ts_ms")

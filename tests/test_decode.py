@@ -202,3 +202,34 @@ def test_unknown_type(spark):
         decoded(spark, "int_value", *items)
     assert decoded(spark, "int_value", *items, on_unknown="skip") == [1]
     assert rows(D.unknown_cells(cells(spark, *items)), "mysql_type") == [("WRONG",)]
+
+
+def test_one_column_at_a_time_agrees(spark):
+    """``cell_value`` and ``decode_cells`` give the same for every type."""
+    ts = dt.datetime(2024, 2, 29, 23, 59, 58, 123000)
+    items = [
+        *[(name, 0, 0, (-5).to_bytes(size, "little", signed=True)) for name, size in D.INTEGER_BYTES.items()],
+        ("BIT", 257, 0, b"\x01\x02"), ("YEAR", 0, 0, b"\x7c"), ("ENUM", 0, 1, b"\x02"), ("SET", 0, 2, b"\x05\x00"),
+        ("DOUBLE", 0, 0, struct.pack("<d", 1.5)), ("FLOAT", 0, 0, struct.pack("<f", -2.5)),
+        ("NEWDECIMAL", (2 << 8) | 10, 0, pack_decimal("-1234.56", 10, 2)),
+        ("DATE", 0, 0, (2024 << 9 | 2 << 5 | 29).to_bytes(3, "little")), ("TIME", 0, 0, (123456).to_bytes(3, "little")),
+        ("TIME_V2", 3, 0, pack_time_v2(-5_120_000, 3)), ("TIMESTAMP", 0, 0, (1_700_000_000).to_bytes(4, "little")),
+        ("TIMESTAMP_V2", 0, 0, (1_700_000_000).to_bytes(4, "big")), ("DATETIME", 0, 0, (20240229235958).to_bytes(8, "little")),
+        ("DATETIME_V2", 3, 0, pack_datetime_v2(ts, 3)), ("STRING", (254 << 8) | 10, 0, b"\x03abc"),
+        ("STRING", (247 << 8) | 1, 0, b"\x03"), ("STRING", (0xEE << 8) | 0x2C, 0, b"\x02\x00ok"), ("STRING", 20, 0, b"\x01x"),
+        ("VARCHAR", 300, 0, b"\x02\x00hi"), ("VAR_STRING", 9, 0, b"\x01h"), ("BLOB", 2, 0, b"\x01\x00z"),
+    ]
+    mixed = D.decode_cells(cells(spark, *items)).orderBy("event_id").select(D.cell_text()).collect()
+    df = spark.createDataFrame([tuple(bytearray(i[3]) for i in items)], ", ".join(f"c{n} binary" for n in range(len(items))))
+    typed = D.decode_columns(df, {f"c{n}": (i[0], i[1]) for n, i in enumerate(items)})
+    from cdcflow.functions.values import stringify
+
+    assert list(stringify(typed).first()) == [r[0] for r in mixed]
+    with pytest.raises(ValueError, match="unsupported type WRONG"):
+        D.cell_value(F.col("raw"), "WRONG")
+
+
+def test_row_images(spark):
+    data = [(1, 0, "a", "TINY", 0, 0, bytearray(b"\x01")), (1, 0, "b", "TINY", 0, 0, None), (1, 1, "a", "TINY", 0, 0, bytearray(b"\x02"))]
+    out = D.row_images(D.decode_cells(spark.createDataFrame(data, CELL)), ["event_id", "row_seq"])
+    assert sorted((r["row_seq"], r["image"]) for r in out.collect()) == [(0, {"a": "1", "b": None}), (1, {"a": "2"})]
