@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cdcflow.operators.ordered import block, last_value
+from cdcflow.operators.ordered import CHUNKS, block, blocks, last_value
 from cdcflow.plans.registry import table
 
 EVENTS_PER_FILE = 400
-FILES_PER_BLOCK = 1_000
+EVENTS_PER_BLOCK = 100_000
 SOURCE_UUID = "3e11fa47-71ca-11e1-9e33-c80aa9429562"
 EVENTS_PER_NAME = 300
 
@@ -52,11 +52,9 @@ def changes_of(events: DataFrame, before: bool = False) -> DataFrame:
     if not before:
         return log
     return (
-        log.withColumns({"_user": F.col("after.user_id"), "_block": block(F.col("file_no"), FILES_PER_BLOCK)})
-        .transform(
-            last_value, ["_user"], ["_block", "file_no"], ["event_id"], F.col("after"), "before", inclusive=False
-        )
-        .drop("_user", "_block")
+        log.withColumns({"_user": F.col("after.user_id"), **blocks(F.col("event_id"), EVENTS_PER_BLOCK)})
+        .transform(last_value, ["_user"], CHUNKS, ["event_id"], F.col("after"), "before", inclusive=False)
+        .drop("_user", *CHUNKS)
     )
 
 

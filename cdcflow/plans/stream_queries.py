@@ -19,7 +19,8 @@ from cdcflow.streaming import jobs
 
 
 def _stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return stream_changes(spark, sf_dir, schema=table(spark, sf_dir, name).schema, glob=f"{name}.parquet")
+    """A table as a stream. The path is a pattern, which finds a file as well as a folder of files."""
+    return stream_changes(spark, f"{sf_dir}/{name}.parque[t]", schema=table(spark, sf_dir, name).schema)
 
 
 @query(WORD_COUNT_SQL)

@@ -22,14 +22,11 @@ def stream_changes(
     fmt: str = "parquet",
     schema: T.StructType = CHANGE_EVENT,
     files_per_batch: int | None = None,
-    glob: str | None = None,
 ) -> DataFrame:
     """The same as a stream; ``files_per_batch`` bounds one micro-batch."""
     reader = spark.readStream.format(fmt).schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
     return reader.load(path)
 
 
