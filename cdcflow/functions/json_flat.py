@@ -91,7 +91,8 @@ def flat_entries(body: Column, depth: int = DEFAULT_DEPTH) -> Column:
 
     Null members and elements give empty text, empty containers give nothing, and a text that is
     no object or array gives one entry under the empty path. Documents nested deeper than
-    ``depth`` raise instead of losing values. No row leaves its task.
+    ``depth`` raise instead of losing values. No row leaves its task. Documents with a name twice in
+    one object need the session option that ``configure`` sets.
     """
     scalar = F.array(F.struct(F.lit("").alias("path"), body.alias("value")))
     nested = _bind(F.try_parse_json(body), lambda root: F.when(root.isNotNull(), _flat(root, depth)))
