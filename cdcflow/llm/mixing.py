@@ -80,7 +80,7 @@ def split_quotas(quotas: np.ndarray, shard: int, shards: int, seed: int) -> np.n
 def _shares(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
     """source, cuts: the shards' first blocks in the source's order."""
 
-    def draw(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def draw(key: tuple[int, ...], rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("source_no")
         return pd.DataFrame({"source_no": rows["source_no"], "shard": key[0], "blocks": split_quotas(rows["blocks"].to_numpy(), key[0], shards, seed)})
 

@@ -9,11 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cdcflow.llm.frames import saved
+from cdcflow.llm.imatch import fingerprint_edits
 from cdcflow.llm.line_dedup import remove_repeats
+from cdcflow.llm.metric_search import top_by_inner_product
 from cdcflow.llm.mixing import mix
 from cdcflow.llm.ngram_join import similar_texts
 from cdcflow.llm.packing import pack, token_pieces
+from cdcflow.llm.quality import score, train
 from cdcflow.llm.sharding import shards, text_size
+from cdcflow.llm.suffix_dedup import remove_repeated_strings
 from cdcflow.llm.url_filter import judge_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -130,3 +134,54 @@ def op7_line_dedup(spark, sf_dir):
         "removed",
         F.sha2(F.coalesce("kept", F.lit("")).cast("binary"), 256).alias("kept_sha256"),
     )
+
+
+def held_out(doc_id):
+    return F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0
+
+
+@query()
+def op6_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels")
+    model = train(docs, labels.where(~held_out(F.col("doc_id"))))
+    return score(docs, model).select(
+        "row.doc_id", held_out(F.col("row.doc_id")).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
+
+
+@query()
+def op8_imatch(spark, sf_dir):
+    return fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
+TOP_SQL = """
+with v as (
+    select vec_id, list_transform(embedding, lambda x: floor(1024 * cast(x as double))) e
+    from embeddings
+    where vec_id is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scored as (
+    select q.vec_id query_id, c.vec_id, cast(list_inner_product(q.e, c.e) as bigint) score
+    from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 100 = 0)
+select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as int) "rank", vec_id, score
+from scored qualify row_number() over (partition by query_id order by score desc, vec_id) <= 10
+"""
+
+
+@query(TOP_SQL)
+def op4_metric_search(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    return top_by_inner_product(vectors, vectors.where("vec_id % 100 = 0")).withColumnRenamed("id", "vec_id")
+
+
+@query()
+def op9_suffix_dedup(spark, sf_dir):
+    done = remove_repeated_strings(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    removed = F.aggregate("removed", F.lit(0).cast("bigint"), lambda total, s: total + s["end"] - s["start"])
+    return done.select(
+        "row.doc_id",
+        F.coalesce(F.octet_length("row.text"), F.lit(0)).cast("bigint").alias("n_bytes"),
+        removed.alias("n_removed"),
+        F.size("removed").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
