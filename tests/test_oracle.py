@@ -8,6 +8,7 @@ import pytest
 from conftest import DATA
 
 import __spark_entry__ as entry_file
+from cdcflow.plans.all_queries import QUERIES, SQL
 
 
 @pytest.fixture(scope="module")
@@ -22,7 +23,7 @@ def _plain(value):
     return (type(value).__name__, repr(value) if isinstance(value, float) else str(value))
 
 
-@pytest.mark.parametrize("name", sorted(entry_file.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
     df = entry_file.queries()[name](spark, DATA)
     columns = sorted(df.columns)
@@ -40,7 +41,7 @@ def test_query(spark, duck, name):
 
 
 def test_only_the_envelope_has_no_sql():
-    assert set(entry_file.queries()) - set(entry_file.oracle_sql()) == {"emit_envelope"}
+    assert set(QUERIES) - set(SQL) == {"emit_envelope"}
 
 
 def test_entry(spark):
