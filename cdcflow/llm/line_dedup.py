@@ -1,6 +1,7 @@
 """Removal of passages that repeat across documents, by hashes of normalised lines.
 
-A text is cut at line ends, and lines at sentence ends, into units. A unit's digest covers its words (A-Z as a-z, white space
+A text is cut into units at line ends, within lines at sentence ends and before words with a capital (where a passage set into
+other text begins). A unit's digest covers its words (A-Z as a-z, white space
 ignored). The occurrence of the least id, earliest in its document, is the original; all others are repeats. A single short
 unit repeats by chance in clean documents, so repeats are removed where neighbouring ones together have ``min_words`` words.
 Removed spans keep their byte offsets in the original text.
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cdcflow.llm.arrays import fold, mix, prefix_hashes, span_hashes, steps, word_spans
+from cdcflow.llm.arrays import fold, mix, powers, prefix_hashes, span_hashes, steps, word_spans
 from cdcflow.llm.frames import pick, saved, text_key
 
 MIN_WORDS = 20
@@ -39,15 +40,16 @@ def find_units(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     text = np.searchsorted(offsets, starts, "right") - 1
     lines = np.concatenate([[0], np.cumsum(data == 10)])
     new = np.ones(len(starts), bool)
-    new[1:] = (text[1:] != text[:-1]) | (lines[starts[1:]] != lines[ends[:-1]]) | _SENTENCE_END[data[ends[:-1] - 1]]
+    new[1:] = (text[1:] != text[:-1]) | (lines[starts[1:]] != lines[ends[:-1]]) | _SENTENCE_END[data[ends[:-1] - 1]] | _capital(data, starts[1:])
     first = np.flatnonzero(new)
     end = np.append(first[1:], len(starts))
     word = span_hashes(prefix_hashes(fold(data)), starts, ends)
     digests = []
     for salt in (0x243F6A8885A308D3, 0x13198A2E03707344):
-        salted = mix(word ^ np.uint64(salt))
-        total = np.concatenate([[0], np.cumsum(salted * _word_powers(len(word))[0])]).astype(np.uint64)
-        digests.append(mix((total[end] - total[first]) * _word_powers(len(word) + 1)[1][first]).view(np.int64))
+        up, down = powers(len(word) + 1)
+        total = np.zeros(len(word) + 1, np.uint64)
+        np.cumsum(mix(word ^ np.uint64(salt)) * up[:-1], out=total[1:])
+        digests.append(mix((total[end] - total[first]) * down[first]).view(np.int64))
     of = text[first]
     order = np.lexsort((np.arange(len(first)), digests[0], of))
     again = np.zeros(len(first), bool)
@@ -66,10 +68,10 @@ def find_units(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     }
 
 
-def _word_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    from cdcflow.llm.arrays import powers
-
-    return powers(n)
+def _capital(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether A-Z or a Latin-1 capital begins at a byte."""
+    first, second = data[at], data[np.minimum(at + 1, len(data) - 1)]
+    return ((first >= 65) & (first <= 90)) | ((first == 0xC3) & (second >= 0x80) & (second <= 0x9E))
 
 
 def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
