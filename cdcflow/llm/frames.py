@@ -6,12 +6,18 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cdcflow.session import shared_dir
 
 
+def small_batches(spark: SparkSession, rows: int = 2_000) -> SparkSession:
+    """Hand whole texts to Python in batches of fewer rows than Spark's default, to bound a worker's memory."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    return spark
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Write a frame to the cluster's shared folder and read it back: no executor that goes can take it along."""
     path = shared_dir(df.sparkSession, name)

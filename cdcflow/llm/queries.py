@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cdcflow.llm.frames import saved
+from cdcflow.llm.frames import saved, small_batches
 from cdcflow.llm.imatch import fingerprint_edits
 from cdcflow.llm.line_dedup import remove_repeats
 from cdcflow.llm.metric_search import top_by_inner_product
@@ -30,7 +30,10 @@ URL_RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "bl
 
 def query(sql: str | None = None) -> Callable[[Query], Query]:
     def register(fn: Query) -> Query:
-        QUERIES[fn.__name__] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return fn(small_batches(spark), sf_dir)
+
+        QUERIES[fn.__name__] = run
         if sql is not None:
             SQL[fn.__name__] = sql
         return fn
