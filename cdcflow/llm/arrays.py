@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-STEP_BYTES = 4 << 20
+STEP_BYTES = 1 << 20
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _GRAM_FACTORS = [pow(0xD6E8FEB86659FD93, i + 1, 1 << 64) for i in range(16)]

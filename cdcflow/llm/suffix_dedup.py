@@ -32,7 +32,7 @@ from cdcflow.llm.frames import complete_groups, pick, saved, text_key
 
 LENGTH, GRAM = 400, 32
 GROUP_ANCHORS = 2_000
-SEGMENT = 2 << 20
+SEGMENT = 1 << 19
 _POSITION_BITS = 24
 
 
