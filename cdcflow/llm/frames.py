@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -68,13 +69,16 @@ def _starts(table: pa.Table, keys: list[str]) -> np.ndarray:
     return np.flatnonzero(new)
 
 
-def per_batch(fn: Callable[[pa.RecordBatch], pa.RecordBatch | None]) -> Callable:
-    """Run ``fn`` over the Arrow batches of a partition."""
+def tidy(fn: Callable) -> Callable:
+    """``fn`` over a partition's Arrow batches; a worker lives on after its task, so what it freed goes back to the system."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = fn(batch)
-            if out is not None:
-                yield out
+        try:
+            yield from fn(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
 
     return run

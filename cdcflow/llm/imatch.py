@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cdcflow.llm.arrays import mix, steps, words
-from cdcflow.llm.frames import pick, saved
+from cdcflow.llm.frames import pick, saved, tidy
 
 DENSITIES = (16, 64, 256, 1024)  # one in so many terms
 PER_DENSITY = 12
@@ -57,7 +57,7 @@ def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def lexicon(texts: DataFrame, most_share: float, least_share: float, least_documents: int) -> np.ndarray:
     """Sorted hashes of the terms in the band. ``texts`` has one column, ``text``."""
     total = texts.count()
-    counted = texts.mapInArrow(_count_terms, "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
+    counted = texts.mapInArrow(tidy(_count_terms), "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
     low, high = max(least_documents, math.ceil(least_share * total)), most_share * total
     kept = counted.where(F.col("n").between(low, max(low, high))).select("term").toArrow()
     return np.sort(kept["term"].to_numpy()).view(np.uint64)
@@ -201,7 +201,7 @@ def fingerprint_edits(
     done = saved(
         base.repartitionByRange(max(1, math.ceil(total / range_bytes)), *order[:2])
         .sortWithinPartitions(*order)
-        .mapInArrow(_sorted_run(kept), f"id {id_type}, {_RESULT_TYPES}, kind string, part int, text string"),
+        .mapInArrow(tidy(_sorted_run(kept)), f"id {id_type}, {_RESULT_TYPES}, kind string, part int, text string"),
         "fingerprints",
     )
     # Two rows for each partition from here on.
@@ -210,5 +210,5 @@ def fingerprint_edits(
     whole = around.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     first = first.select("at", F.coalesce(F.lead("beginning").over(around), F.first("beginning").over(whole)).alias("following"))
     seams = done.where("kind = 'last'").join(first, F.col("part") == first["at"]).select("id", "text", "following")
-    closed = seams.mapInArrow(_seams(kept), f"id {id_type}, {_RESULT_TYPES}")
+    closed = seams.mapInArrow(tidy(_seams(kept)), f"id {id_type}, {_RESULT_TYPES}")
     return done.where("kind = 'done'").select("id", *_RESULT).unionByName(closed).withColumnRenamed("id", id_col)

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cdcflow.llm.arrays import fold, mix, powers, prefix_hashes, span_hashes, steps, word_spans
-from cdcflow.llm.frames import pick, saved, text_key
+from cdcflow.llm.frames import pick, saved, text_key, tidy
 
 MIN_WORDS = 20
 _SENTENCE_END = np.zeros(256, bool)
@@ -122,8 +122,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     base = pick(docs, id=id_col, text=text_col)
     key = F.xxhash64("id", text_key("text"))
     id_type = base.schema["id"].dataType.simpleString()
-    units = base.select("id", key.alias("key"), "text").mapInArrow(
-        _units, f"id {id_type}, key bigint, unit bigint, start bigint, end bigint, words bigint, h1 bigint, h2 bigint, inner boolean"
+    units = base.select("id", key.alias("key"), "text").mapInArrow(tidy(_units), f"id {id_type}, key bigint, unit bigint, start bigint, end bigint, words bigint, h1 bigint, h2 bigint, inner boolean"
     )
     common = units.where("not inner").groupBy("h1").agg(F.count("*").alias("n")).where("n > 1").select("h1", F.lit(True).alias("common"))
     shared = saved(units.join(common, "h1", "left").where("inner or common").drop("common"), "units")
@@ -135,4 +134,4 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = docs.select(F.struct("*").alias("row"), F.xxhash64(docs[id_col], text_key(docs[text_col])).alias("key"), docs[text_col].alias("text"))
     joined = rows.join(by_doc, "key", "left").select("row", "text", "units")
     row_type = joined.schema["row"].dataType.simpleString()
-    return joined.mapInArrow(_cut(min_words), f"row {row_type}, kept string, removed array<struct<start: bigint, end: bigint>>")
+    return joined.mapInArrow(tidy(_cut(min_words)), f"row {row_type}, kept string, removed array<struct<start: bigint, end: bigint>>")

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from cdcflow.llm.arrays import grams, mix, segment_reduce, steps, words
 from cdcflow.llm.components import components
-from cdcflow.llm.frames import complete_groups, pick, same, saved, text_key
+from cdcflow.llm.frames import complete_groups, pick, same, saved, text_key, tidy
 
 UNIT_TEXTS = 256
 
@@ -218,7 +218,7 @@ def similar_texts(
     base = pick(docs, id=id_col, text=text_col).withColumn("text_key", text_key("text"))
     id_type = base.schema["id"].dataType.simpleString()
     signed = saved(
-        base.select("id", "text_key", "text").mapInArrow(_signatures(n, bands, seed), f"id {id_type}, text_key binary, bands array<bigint>"), "signatures"
+        base.select("id", "text_key", "text").mapInArrow(tidy(_signatures(n, bands, seed)), f"id {id_type}, text_key binary, bands array<bigint>"), "signatures"
     )
     texts = saved(
         signed.groupBy("text_key").agg(F.min("id").alias("text_id"), F.count("*").alias("copies"), F.first("bands").alias("bands")), "texts"
@@ -236,7 +236,7 @@ def similar_texts(
         .select(*key, "tile", "text_key", F.coalesce("text", F.lit("")).alias("text"), "copies", "bands")
         .repartition(*key)
         .sortWithinPartitions(*key, "text_key")
-        .mapInArrow(_verify(n, threshold), "text_key binary, root binary, links bigint, text_links bigint"),
+        .mapInArrow(tidy(_verify(n, threshold)), "text_key binary, root binary, links bigint, text_links bigint"),
         "links",
     )
     counts = found.groupBy("text_key").agg(F.sum("links").alias("links"), F.sum("text_links").alias("text_links"))

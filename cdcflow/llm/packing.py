@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cdcflow.llm.frames import pick
+from cdcflow.llm.frames import pick, tidy
 
 WINDOW = 1024
 PIECE_ROWS_PER_GROUP = 100_000
@@ -128,7 +128,7 @@ def token_pieces(
 
     base = pick(docs, id=id_col, text=text_col)
     id_type = base.schema["id"].dataType.simpleString()
-    return base.mapInArrow(run, f"id {id_type}, start bigint, length bigint, ids binary, doc_tokens bigint")
+    return base.mapInArrow(tidy(run), f"id {id_type}, start bigint, length bigint, ids binary, doc_tokens bigint")
 
 
 def _numbered(pieces: DataFrame, group_rows: int) -> tuple[DataFrame, dict[int, int]]:
@@ -170,4 +170,4 @@ def pack(pieces: DataFrame, window: int = WINDOW, group_rows: int = PIECE_ROWS_P
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], pa.array(sequence), pa.array(at)], [*names, "sequence_id", "offset"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
-    return numbered.select(*pieces.columns, "ordinal").mapInArrow(run, f"{schema}, sequence_id bigint, offset bigint")
+    return numbered.select(*pieces.columns, "ordinal").mapInArrow(tidy(run), f"{schema}, sequence_id bigint, offset bigint")

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cdcflow.llm.arrays import steps
-from cdcflow.llm.frames import pick
+from cdcflow.llm.frames import pick, tidy
 
 CHUNK, HOP = 256, 192
 EMBEDDING, FILTERS, TAPS = 8, 16, 4  # a tap is two bytes
@@ -192,4 +192,4 @@ def score(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataF
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(made)], ["row", "score"])
 
     given = docs.select(F.struct("*").alias("row"), docs[text_col].alias("text"))
-    return given.mapInArrow(run, f"row {given.schema['row'].dataType.simpleString()}, score double")
+    return given.mapInArrow(tidy(run), f"row {given.schema['row'].dataType.simpleString()}, score double")

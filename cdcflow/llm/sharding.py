@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cdcflow.llm.frames import saved
+from cdcflow.llm.frames import saved, tidy
 
 BUCKET_BYTES = 32 << 20
 _OUT_ROWS = 1000
@@ -60,8 +60,7 @@ def external_shuffle(df: DataFrame, size: Column, seed: int = 7, bucket_bytes: i
         "bucket", F.pmod(F.xxhash64(F.lit(seed), "scanned"), F.lit(buckets)).cast("bigint")
     )
     row_type = placed.schema["row"].dataType.simpleString()
-    shuffled = placed.repartitionById(buckets, F.col("bucket").cast("int")).mapInArrow(
-        _fisher_yates(seed), f"bucket bigint, place bigint, row {row_type}"
+    shuffled = placed.repartitionById(buckets, F.col("bucket").cast("int")).mapInArrow(tidy(_fisher_yates(seed)), f"bucket bigint, place bigint, row {row_type}"
     )
     return saved(shuffled, "buckets")
 

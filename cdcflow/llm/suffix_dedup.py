@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from cdcflow.llm.arrays import mix, prefix_hashes, span_hashes, text_bytes
 from cdcflow.llm.deep_shallow import sort_strings
-from cdcflow.llm.frames import complete_groups, pick, saved, text_key
+from cdcflow.llm.frames import complete_groups, pick, saved, text_key, tidy
 
 LENGTH, GRAM = 400, 32
 GROUP_ANCHORS = 2_000
@@ -214,7 +214,7 @@ def remove_repeated_strings(
     key = F.xxhash64("id", text_key("text"))
     texts = base.select(key.alias("key"), "text")
     anchors = saved(
-        texts.where(F.octet_length("text") >= length).mapInArrow(_anchors(length, gram), "key bigint, gram bigint, context bigint, at bigint, lo bigint, hi bigint"), "anchors"
+        texts.where(F.octet_length("text") >= length).mapInArrow(tidy(_anchors(length, gram)), "key bigint, gram bigint, context bigint, at bigint, lo bigint, hi bigint"), "anchors"
     )
     contexts = anchors.groupBy("gram", "context").agg(F.count("*").alias("n"))
     grams = contexts.groupBy("gram").agg(F.count("*").alias("contexts"), F.sum("n").alias("total")).where("total > 1").select("gram", "contexts")
@@ -228,11 +228,11 @@ def remove_repeated_strings(
         F.collect_list(F.struct("gram", "at", "lo", "hi", (F.col("contexts") > group_anchors).alias("crowded"))).alias("wanted")  # of one document
     )
     fetched = saved(
-        texts.join(wanted, "key").dropDuplicates(["key"]).mapInArrow(_contexts(length), "gram bigint, key bigint, at bigint, left binary, right binary, digest bigint"),
+        texts.join(wanted, "key").dropDuplicates(["key"]).mapInArrow(tidy(_contexts(length)), "gram bigint, key bigint, at bigint, left binary, right binary, digest bigint"),
         "contexts",
     )
     sorted_groups = fetched.where("digest is null").select("gram", "key", "at", "left", "right").repartition("gram").sortWithinPartitions("gram", "key", "at")
-    compared = sorted_groups.mapInArrow(_compare(length), "key bigint, start bigint, end bigint")
+    compared = sorted_groups.mapInArrow(tidy(_compare(length)), "key bigint, start bigint, end bigint")
     windows = fetched.where("digest is not null")
     again = windows.groupBy("gram", "digest").agg(F.count("*").alias("n")).where("n > 1").select("gram", "digest")
     counted = windows.join(again, ["gram", "digest"]).select("key", F.col("at").alias("start"), (F.col("at") + length).alias("end"))
@@ -240,4 +240,4 @@ def remove_repeated_strings(
     rows = docs.select(F.struct("*").alias("row"), F.xxhash64(docs[id_col], text_key(docs[text_col])).alias("key"), docs[text_col].alias("text"))
     joined = rows.join(spans, "key", "left").select("row", "text", "spans")
     row_type = joined.schema["row"].dataType.simpleString()
-    return joined.mapInArrow(_cut, f"row {row_type}, kept binary, removed array<struct<start: bigint, end: bigint>>")
+    return joined.mapInArrow(tidy(_cut), f"row {row_type}, kept binary, removed array<struct<start: bigint, end: bigint>>")

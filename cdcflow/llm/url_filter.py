@@ -26,7 +26,7 @@ from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cdcflow.llm.frames import pick
+from cdcflow.llm.frames import pick, tidy
 from cdcflow.session import shared_dir
 
 ALLOW, BLOCK = "allow", "block"
@@ -116,4 +116,4 @@ def judge_urls(pages: DataFrame, rules: dict[str, str], id_col: str = "page_id",
 
     base = pick(pages, id=id_col, url=url_col).select("id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     id_type = base.schema["id"].dataType.simpleString()
-    return base.mapInArrow(run, f"id {id_type}, host string, path string, rule string, verdict string")
+    return base.mapInArrow(tidy(run), f"id {id_type}, host string, path string, rule string, verdict string")
