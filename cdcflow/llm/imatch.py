@@ -22,12 +22,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cdcflow.llm.arrays import mix, steps, words
-from cdcflow.llm.frames import pick, saved, tidy
+from cdcflow.llm.frames import pick, same, saved, tidy
 
 DENSITIES = (16, 64, 256, 1024)  # one in so many terms
 PER_DENSITY = 12
@@ -49,9 +48,9 @@ def document_terms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, n
 
 def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for _, _, data, offsets in steps(batch.column("text")):
-            terms, counts = np.unique(document_terms(data, offsets)[0], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(terms.view(np.int64)), pa.array(counts)], ["term", "n"])
+        found = [document_terms(data, offsets)[0] for _, _, data, offsets in steps(batch.column("text"))]
+        terms, counts = np.unique(np.concatenate([np.zeros(0, np.uint64), *found]), return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(terms.view(np.int64)), pa.array(counts)], ["term", "n"])
 
 
 def lexicon(texts: DataFrame, most_share: float, least_share: float, least_documents: int) -> np.ndarray:
@@ -138,44 +137,22 @@ def _compare(texts: list[str], following: list[str], own: np.ndarray, nexts: np.
 
 
 def _sorted_run(lexicon: np.ndarray):
-    """Compare each document of a sorted partition with the next; hand out the first and the last for the seams."""
+    """Compare each document of a sorted range with the next. The range's last row is another range's first and only follows."""
+    names = ["id", *_RESULT]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = TaskContext.get().partitionId()
         held = None
-
-        def seam(kind: str, ids: pa.Array, text: str) -> pa.RecordBatch:
-            empty = [pa.nulls(1, t) for t in (pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64())]
-            return pa.RecordBatch.from_arrays([ids, *empty, pa.array([kind]), pa.array([part], pa.int32()), pa.array([text])], names)
-
         for batch in batches:
             if not batch.num_rows:
                 continue
             ids, texts = batch.column("id"), [t or "" for t in batch.column("text").to_pylist()]
             own = _of_texts(texts, lexicon)
-            if held is None:
-                yield seam("first", ids.slice(0, 1), texts[0])
-            else:
+            if held is not None:
                 ids, texts, own = pa.concat_arrays([held[0], ids]), [held[1], *texts], np.concatenate([held[2], own])
             n = len(texts) - 1
             if n:
-                columns = _compare(texts[:-1], texts[1:], own[:-1], own[1:], lexicon)
-                rest = [pa.array(["done"] * n), pa.array(np.full(n, part), pa.int32()), pa.nulls(n, pa.string())]
-                yield pa.RecordBatch.from_arrays([ids.slice(0, n), *columns, *rest], names)
+                yield pa.RecordBatch.from_arrays([ids.slice(0, n), *_compare(texts[:-1], texts[1:], own[:-1], own[1:], lexicon)], names)
             held = ids.slice(n, 1), texts[-1], own[-1:]
-        if held is not None:
-            yield seam("last", held[0], held[1])
-
-    names = ["id", *_RESULT, "kind", "part", "text"]
-    return run
-
-
-def _seams(lexicon: np.ndarray):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts, following = batch.column("text").to_pylist(), batch.column("following").to_pylist()
-            columns = _compare(texts, following, _of_texts(texts, lexicon), _of_texts(following, lexicon), lexicon)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), *columns], ["id", *_RESULT])
 
     return run
 
@@ -191,24 +168,33 @@ def fingerprint_edits(
 ) -> DataFrame:
     """Fingerprints of each text and of its edit with the next document's beginning, and how alike they are.
 
-    The next document is that of the next lower id; after the last comes the first.
+    The next document is that of the next lower id (ids are numbers); after the last comes the first. Ranges of ids are cut at
+    percentiles and sorted apart; each also gets the document that follows it, so texts are shuffled once.
     """
     base = pick(docs, id=id_col, text=text_col)
     kept = lexicon(base.select("text"), most_share, least_share, least_documents)
-    id_type = base.schema["id"].dataType.simpleString()
     total = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    order = [F.col("id").desc_nulls_last(), F.xxhash64("text"), F.col("text")]
-    done = saved(
-        base.repartitionByRange(max(1, math.ceil(total / range_bytes)), *order[:2])
-        .sortWithinPartitions(*order)
-        .mapInArrow(tidy(_sorted_run(kept)), f"id {id_type}, {_RESULT_TYPES}, kind string, part int, text string"),
-        "fingerprints",
+    ranges = max(1, math.ceil(total / range_bytes))
+    shares = [i / ranges for i in range(1, ranges)]
+    cuts = (base.agg(F.percentile_approx("id", shares, 10_000)).first()[0] or []) if shares else []
+    cuts = sorted(set(cuts), reverse=True)
+    # Range 0 has the greatest ids; null ids have the last.
+    at = F.when(F.col("id").isNull(), F.lit(len(cuts) + 1)).otherwise(F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c >= F.col("id"))) if cuts else F.lit(0))
+    placed = base.select(at.cast("int").alias("part"), "id", "text", F.xxhash64("text").alias("h"))
+    # One row for each range from here to the union.
+    top = saved(placed.groupBy("part").agg(F.max("id").alias("id")), "tops")
+    tied = placed.join(F.broadcast(top.select(F.col("part").alias("of"), F.col("id").alias("top"))), (F.col("part") == F.col("of")) & same(F.col("id"), F.col("top")))
+    first = tied.groupBy("part", "id").agg(F.min(F.struct("h", F.coalesce("text", F.lit("")).alias("text"))).alias("first"))
+    by_part = Window.orderBy("part")
+    everything = by_part.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    follows = first.select(
+        F.coalesce(F.lag("part").over(by_part), F.last("part").over(everything)).alias("part"), "id", "first.text", "first.h", F.lit(True).alias("follower")
     )
-    # Two rows for each partition from here on.
-    first = done.where("kind = 'first'").select(F.col("part").alias("at"), F.col("text").alias("beginning"))
-    around = Window.orderBy("at")
-    whole = around.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    first = first.select("at", F.coalesce(F.lead("beginning").over(around), F.first("beginning").over(whole)).alias("following"))
-    seams = done.where("kind = 'last'").join(first, F.col("part") == first["at"]).select("id", "text", "following")
-    closed = seams.mapInArrow(tidy(_seams(kept)), f"id {id_type}, {_RESULT_TYPES}")
-    return done.where("kind = 'done'").select("id", *_RESULT).unionByName(closed).withColumnRenamed("id", id_col)
+    sorted_ranges = (
+        placed.withColumn("follower", F.lit(False))
+        .unionByName(follows)
+        .repartitionById(len(cuts) + 2, "part")
+        .sortWithinPartitions("part", "follower", F.col("id").desc_nulls_last(), "h", "text")
+    )
+    id_type = base.schema["id"].dataType.simpleString()
+    return sorted_ranges.select("id", "text").mapInArrow(tidy(_sorted_run(kept)), f"id {id_type}, {_RESULT_TYPES}").withColumnRenamed("id", id_col)
