@@ -69,9 +69,11 @@ def find_units(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
 
 
 def _capital(data: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Whether A-Z or a Latin-1 capital begins at a byte."""
-    first, second = data[at], data[np.minimum(at + 1, len(data) - 1)]
-    return ((first >= 65) & (first <= 90)) | ((first == 0xC3) & (second >= 0x80) & (second <= 0x9E))
+    """Whether a capital (A-Z or Latin-1) and then no other A-Z begin at a byte; words all in capitals don't count."""
+    first, second, third = (data[np.minimum(at + k, len(data) - 1)] for k in range(3))
+    plain, accented = (first >= 65) & (first <= 90), (first == 0xC3) & (second >= 0x80) & (second <= 0x9E)
+    after = np.where(accented, third, second)
+    return (plain | accented) & (after >= 97)
 
 
 def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
