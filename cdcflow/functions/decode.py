@@ -12,6 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cdcflow.functions.values import utf8_text
+
 # Fixed values of the MySQL row format.
 DIGITS_PER_GROUP = 9
 MAX_DIGITS, MAX_SCALE = 65, 30
@@ -86,11 +88,6 @@ def set_labels(mask: Column, labels: Column) -> Column:
     return F.filter(labels, lambda _, i: F.call_function("shiftright", mask, i).bitwiseAND(1) == 1)
 
 
-def bit_width(meta: Column) -> Column:
-    """Number of bits of a BIT column."""
-    return F.shiftright(meta, 8) * 8 + meta.bitwiseAND(255)
-
-
 def signed_le(raw: Column, size: int) -> Column:
     """Signed little-endian integer of 1 to 8 bytes."""
     return fold_sign(number_le(raw), size)
@@ -433,7 +430,7 @@ def cell_value(raw: Column, mysql_type: str, meta: int = 0, times: TimeOptions =
     if mysql_type in BLOBS:
         return payload(raw, meta)
     if mysql_type in (*VARIABLE_TEXT, "STRING"):
-        return F.decode(payload(raw, 1 if meta < 256 else 2), "UTF-8")
+        return utf8_text(payload(raw, 1 if meta < 256 else 2))
     by_type: dict[str, Callable[[], Column]] = {
         "BIT": lambda: bits(raw),
         "YEAR": lambda: year_value(number).cast("int"),
@@ -537,7 +534,7 @@ def decode_cells(
     if text_as_bytes:
         as_bytes, text = F.coalesce(as_bytes, chars), F.lit(None).cast("string")
     else:
-        text = F.decode(chars, "UTF-8")
+        text = utf8_text(chars)
 
     stamp = F.timestamp_micros(v * 1_000_000 + _kept(us, times))
     shifted = F.to_utc_timestamp(stamp, times.zone) if times.zone else stamp
@@ -567,7 +564,7 @@ def cell_text(micros: bool = False) -> Column:
         as_long(F.col("ts_value"), micros).cast("string"),
         F.col("time_us").cast("string"),
         F.col("text_value"),
-        F.decode("bytes_value", "UTF-8"),
+        utf8_text(F.col("bytes_value")),
     )
 
 

@@ -12,12 +12,22 @@ from pyspark.sql import types as T
 TIME_FORMATS = ("yyyy-MM-dd HH:mm:ss.SSS", "yyyy-MM-dd HH:mm:ss")
 
 
+def utf8_text(value: Column) -> Column:
+    """Bytes as text; what is not UTF-8 becomes the replacement character and never ends a job."""
+    return F.make_valid_utf8(value.cast("string"))
+
+
+def utc_day(ms: Column) -> Column:
+    """The day of an epoch time in milliseconds, whatever the session's time zone."""
+    return F.date_from_unix_date(F.floor(ms / 86_400_000).cast("int"))
+
+
 def value_text(value: Column, data_type: T.DataType) -> Column:
     """Text form of an emitted value: bytes decoded, timestamps as epoch ms, the rest as is."""
     if isinstance(data_type, T.StringType):
         return value
     if isinstance(data_type, T.BinaryType):
-        return F.decode(value, "UTF-8")
+        return utf8_text(value)
     if isinstance(data_type, (T.TimestampType, T.TimestampNTZType)):
         return F.unix_millis(value.cast("timestamp")).cast("string")
     return value.cast("string")
@@ -57,7 +67,7 @@ def parse_time(text: Column) -> Column:
 
 def has_text(*values: Column) -> Column:
     """True if any value is neither null nor blank."""
-    tests = [F.coalesce(v.cast("string").rlike(r"\S"), F.lit(False)) for v in values]
+    tests = [F.coalesce(v.cast("string").rlike(r"\P{javaWhitespace}"), F.lit(False)) for v in values]
     return reduce(lambda a, b: a | b, tests)
 
 

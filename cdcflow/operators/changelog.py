@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cdcflow.functions.values import file_number, value_text, wall_clock_as_local
+from cdcflow.functions.values import file_number, utc_day, value_text, wall_clock_as_local
 from cdcflow.operators.joins import lookup_join
 from cdcflow.operators.ordered import last_value
 
@@ -50,7 +50,7 @@ def from_timestamp(log: DataFrame, start_ms: int | None) -> DataFrame:
     if start_ms is None:
         return log
     if "event_date" in log.columns:
-        log = log.where(F.col("event_date") >= F.to_date(F.timestamp_millis(F.lit(start_ms))))
+        log = log.where(F.col("event_date") >= utc_day(F.lit(start_ms)))
     return log.where(F.col("event_ts_ms") >= start_ms)
 
 
@@ -110,7 +110,7 @@ def named_images(row_events: DataFrame, catalog: DataFrame) -> tuple[DataFrame,
     and deletes must have exactly the table's columns. Updates may carry extra cells, which are
     not named, but not fewer. A table without a catalog entry is not registered and is left out.
     """
-    joined = lookup_join(row_events, catalog_names(catalog), ["db_table"], rows=catalog.count())
+    joined = lookup_join(row_events, catalog_names(catalog), ["db_table"])
     width = F.size("_names")
     is_insert, is_delete, is_update = (F.col("op") == o for o in ("insert", "delete", "update"))
     fits = F.coalesce(

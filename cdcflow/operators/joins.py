@@ -6,8 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BROADCAST_ROWS = 100_000
-LOOKUP_SALT = 16
 _SALT = "_salt"
 _SALTABLE = {"inner", "left", "left_outer", "leftouter", "semi", "left_semi", "leftsemi", "anti", "left_anti", "leftanti"}
 
@@ -34,14 +32,10 @@ def equi_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inne
     return spread.join(repeated, [*on, _SALT], how).drop(_SALT)
 
 
-def lookup_join(
-    df: DataFrame, side: DataFrame, on: list[str], how: str = "inner", rows: int | None = None, salt: int = LOOKUP_SALT
-) -> DataFrame:
+def lookup_join(df: DataFrame, side: DataFrame, on: list[str], how: str = "inner", salt: int = 1) -> DataFrame:
     """Join a large frame with a side that is usually small.
 
-    The side is broadcast only if it is counted small (``rows`` gives the count where it is known
-    from elsewhere); beyond that the keys of the large frame are salted and both sides shuffled.
+    Nothing is counted or forced: Spark broadcasts the side if its bytes allow it, or else shuffles, and splits hot keys of the
+    large frame. The rows are the same whatever the sizes. ``salt`` above 1 splits the keys of the large frame from the start.
     """
-    if (side.count() if rows is None else rows) <= BROADCAST_ROWS:
-        return df.join(F.broadcast(side), on, how)
     return equi_join(df, side, on, how, salt)

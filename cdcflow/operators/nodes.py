@@ -11,12 +11,6 @@ from pyspark.sql import functions as F
 from cdcflow.functions.conditions import condition
 from cdcflow.operators.joins import equi_join, lookup_join  # noqa: F401  (equi_join is the JOIN node)
 
-# The node kinds.
-NODE_KINDS = [
-    "SOURCE", "SINK", "PROCESS", "FILTER", "MERGE", "FLAT_MAP", "JOIN", "SORT", "GLOBAL_AGG", "AGGREGATE",
-    "ROUTETEMPLATE", "DYNAMIC_FILTER", "DATA_QUALITY_MONITOR",
-]
-
 
 def process(df: DataFrame, fn: Callable[[DataFrame], DataFrame], parallelism: int | None = None) -> DataFrame:
     """Apply a frame function, over a given number of tasks if one is set."""

@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cdcflow.functions.values import utc_day
+
 # JDBC type codes and the Spark type each one is written as.
 SQL_TYPES = {
     -7: "boolean", 16: "boolean",
@@ -61,7 +63,7 @@ def land_changes(log: DataFrame, path: str, mode: str = "append") -> None:
 
     The rebalance hint lets Spark split a hot table over several files and join small ones.
     """
-    day = F.to_date(F.timestamp_millis("event_ts_ms"))
+    day = utc_day(F.col("event_ts_ms"))
     (
         log.withColumn("event_date", day)
         .hint("rebalance", "db_table", "event_date")

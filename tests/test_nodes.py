@@ -4,8 +4,7 @@ from pyspark.sql import functions as F
 
 from cdcflow import sinks
 from cdcflow.operators import nodes as N
-from cdcflow.operators import joins
-from cdcflow.operators.joins import equi_join
+from cdcflow.operators.joins import equi_join, lookup_join
 from cdcflow.session import shared_dir
 
 
@@ -74,17 +73,16 @@ def test_unsaltable_join(spark):
         equi_join(spark.range(1), spark.range(1), ["id"], "full", salt=2)
 
 
-def test_broadcast_is_bound(spark, monkeypatch):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        big = spark.range(100)
-        assert "BroadcastHashJoin" in plan(N.dynamic_filter(big, spark.range(5), ["id"]))
-        monkeypatch.setattr(joins, "BROADCAST_ROWS", 4)
-        beyond = N.dynamic_filter(big, spark.range(5), ["id"])
-        assert "BroadcastHashJoin" not in plan(beyond) and "_salt" in plan(beyond)
-        assert rows(beyond) == [(i,) for i in range(5)]
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+@pytest.mark.parametrize("how", ["inner", "left", "right", "full", "left_semi", "left_anti"])
+def test_lookup_rows_do_not_depend_on_the_plan(spark, how):
+    left, right = spark.range(100).withColumn("a", F.col("id") % 3), spark.range(95, 105).withColumn("b", F.col("id"))
+    expected = rows(left.join(right, ["id"], how))
+    for limit in ("-1", "10485760"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        try:
+            assert rows(lookup_join(left, right, ["id"], how)) == expected
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_aggregate(spark):

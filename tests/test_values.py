@@ -143,3 +143,13 @@ def test_registered_function(spark):
     spark.udf.register("twice", lambda v: v * 2, "int")
     df = spark.createDataFrame([(4,)], "n int")
     assert df.select(C.derived("m", "twice", ["$n"], kind="PRIVATE")).first()["m"] == 8
+
+
+def test_bytes_that_are_not_utf8_do_not_end_a_job(spark):
+    df = spark.createDataFrame([(bytearray(b"a\xffb"),)], "v binary")
+    assert df.select(V.utf8_text(F.col("v"))).first()[0] == "a\ufffdb"
+
+
+def test_wide_blanks_are_blank(spark):
+    df = spark.createDataFrame([("\u3000 \t",), ("\u3000x",), (None,)], "v string")
+    assert [r[0] for r in df.select(V.has_text(F.col("v"))).collect()] == [False, True, False]
