@@ -73,6 +73,7 @@ def shards(df: DataFrame, size: Column, count: int = 16, seed: int = 7, bucket_b
     before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = each.select(F.col("bucket").alias("of"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
     at = F.col("before") + F.col("place")
-    return shuffled.join(offsets, shuffled.bucket == offsets["of"]).select(
+    # Its size is known: 16 bytes for each ``bucket_bytes`` of input. Unbroadcast, the join would shuffle all texts again.
+    return shuffled.join(F.broadcast(offsets), shuffled.bucket == offsets["of"]).select(
         F.pmod(at, F.lit(count)).cast("int").alias("shard"), F.floor(at / count).cast("bigint").alias("slot"), "row"
     )
