@@ -7,8 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_DEPTH = 8
-
 
 def _bind(value: Column, use: Callable[[Column], Column]) -> Column:
     """``use`` of a value that is computed once, however often it is referred to."""
@@ -66,19 +64,26 @@ def _is_open(entry: Column) -> Column:
     return entry["value"].isNull()
 
 
-def _expanded(entries: Column) -> Column:
-    """All entries one level down, or just as they are when no value is left to look into."""
-    return F.when(F.exists(entries, _is_open), F.flatten(F.transform(entries, _children))).otherwise(entries)
+def _one_level(state: Column) -> Column:
+    """The open entries one level down; finished leaves are set aside and not looked at again."""
 
+    def sorted_out(down: Column) -> Column:
+        leaves = F.transform(
+            F.filter(down, lambda e: ~_is_open(e)), lambda e: F.struct(e["path"].alias("path"), e["value"].alias("value"))
+        )
+        return F.struct(F.filter(down, _is_open).alias("open"), F.concat(state["done"], leaves).alias("done"))
 
-def _flat(root: Column, depth: int) -> Column:
-    entries = F.array(_entry(F.lit(""), root))
-    for _ in range(depth + 1):
-        entries = _bind(entries, _expanded)
-    too_deep = F.raise_error(F.lit(f"JSON nested deeper than {depth}")).cast("string")
-    texts = F.transform(
-        entries, lambda e: F.struct(e["path"].alias("path"), F.coalesce(e["value"], too_deep).alias("value"))
-    )
+    below = _bind(F.flatten(F.transform(state["open"], _children)), sorted_out)
+    return F.when(F.size(state["open"]) > 0, below).otherwise(state)
+
+
+def _flat(body: Column, root: Column) -> Column:
+    # No value is deeper than its text has openings; one in JSON text inside an array may be escaped. Levels that aren't there
+    # find nothing open and cost nothing.
+    levels = F.regexp_count(body, F.lit(r"[{\[]|\\u")) + 1
+    none = F.array().cast("array<struct<path:string,value:string>>")
+    start = F.struct(F.array(_entry(F.lit(""), root)).alias("open"), none.alias("done"))
+    texts = F.aggregate(F.sequence(F.lit(1), levels), start, lambda state, _: _one_level(state), lambda state: state["done"])
     # Equal paths are neighbours once sorted: keep the last of each.
     return _bind(
         F.array_sort(texts),
@@ -86,26 +91,26 @@ def _flat(root: Column, depth: int) -> Column:
     )
 
 
-def flat_entries(body: Column, depth: int = DEFAULT_DEPTH) -> Column:
+def flat_entries(body: Column) -> Column:
     """Sorted array of (path, value text) of a JSON text, one entry per path.
 
     Null members and elements give empty text, empty containers give nothing, and a text that is
-    no object or array gives one entry under the empty path. Documents nested deeper than
-    ``depth`` raise instead of losing values. No row leaves its task. Documents with a name twice in
-    one object need the session option that ``configure`` sets.
+    no object or array gives one entry under the empty path, as does one nested deeper than Spark's
+    parser goes. Any depth that it reads is flattened. No row leaves its task. Documents with a name
+    twice in one object need the session option that ``configure`` sets.
     """
     scalar = F.array(F.struct(F.lit("").alias("path"), body.alias("value")))
-    nested = _bind(F.try_parse_json(body), lambda root: F.when(root.isNotNull(), _flat(root, depth)))
+    nested = _bind(F.try_parse_json(body), lambda root: F.when(root.isNotNull(), _flat(body, root)))
     return F.when(body.isNotNull(), F.coalesce(F.when(_opens(body), nested), scalar))
 
 
-def flatten_json(df: DataFrame, body: str, keep: list[str] | None = None, depth: int = DEFAULT_DEPTH) -> DataFrame:
+def flatten_json(df: DataFrame, body: str, keep: list[str] | None = None) -> DataFrame:
     """One row per path of a JSON column."""
-    return df.select(*(keep or []), F.explode(flat_entries(F.col(body), depth)).alias("_e")).select(
+    return df.select(*(keep or []), F.explode(flat_entries(F.col(body))).alias("_e")).select(
         *(keep or []), "_e.path", "_e.value"
     )
 
 
-def json_properties(body: Column, depth: int = DEFAULT_DEPTH) -> Column:
+def json_properties(body: Column) -> Column:
     """The same as one map of text per document."""
-    return F.map_from_entries(flat_entries(body, depth))
+    return F.map_from_entries(flat_entries(body))

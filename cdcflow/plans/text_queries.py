@@ -77,12 +77,12 @@ def flat_map_url_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT event_id, 'k' AS path, json_extract_string(props, '$.k') AS value FROM events")
 def flatten_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return J.flatten_json(spread_table(spark, sf_dir, "events"), "props", ["event_id"], depth=2)
+    return J.flatten_json(spread_table(spark, sf_dir, "events"), "props", ["event_id"])
 
 
 @query(NESTED_SQL + "SELECT event_id, path, value FROM paths")
 def flatten_nested_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return J.flatten_json(_nested(spark, sf_dir), "body", ["event_id"], depth=4)
+    return J.flatten_json(_nested(spark, sf_dir), "body", ["event_id"])
 
 
 @query(
@@ -92,7 +92,7 @@ def flatten_nested_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 FROM paths GROUP BY event_id"""
 )
 def json_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
-    props = _nested(spark, sf_dir).select("event_id", J.json_properties(F.col("body"), depth=4).alias("p"))
+    props = _nested(spark, sf_dir).select("event_id", J.json_properties(F.col("body")).alias("p"))
     return props.select(
         "event_id",
         F.size("p").alias("keys"),
@@ -102,10 +102,20 @@ def json_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    f"""SELECT event_id, '{"a." * 14}x[0].k' AS path, props[7:length(props) - 1] AS value FROM events"""
+)
+def flatten_deep_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event's properties, fifteen objects and an array further down."""
+    head, tail = '{"a":' * 14 + '{"x":[', "]}" + "}" * 14
+    deep = F.concat(F.lit(head), "props", F.lit(tail)).alias("body")
+    return J.flatten_json(spread_table(spark, sf_dir, "events").select("event_id", deep), "body", ["event_id"])
+
+
 @query("SELECT doc_id, '' AS path, text AS value FROM documents")
 def scalar_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prose is no JSON: each text is the one value of its document."""
-    return J.flatten_json(table(spark, sf_dir, "documents"), "text", ["doc_id"], depth=1)
+    return J.flatten_json(table(spark, sf_dir, "documents"), "text", ["doc_id"])
 
 
 @query(

@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from cdcflow.functions.json_flat import flatten_json, json_properties
 
 
-def flat(spark, body, depth=6):
+def flat(spark, body):
     df = spark.createDataFrame([(body,)], "body string")
-    return {r["path"]: r["value"] for r in flatten_json(df, "body", depth=depth).collect()}
+    return {r["path"]: r["value"] for r in flatten_json(df, "body").collect()}
 
 
 @pytest.mark.parametrize(
@@ -41,11 +41,20 @@ def test_null_document_gives_no_row(spark):
     assert flat(spark, None) == {}
 
 
-def test_too_deep_raises(spark):
-    body = '{"a":{"b":{"c":1}}}'
-    assert flat(spark, body, depth=3) == {"a.b.c": "1"}
-    with pytest.raises(Exception, match="nested deeper than 2"):
-        flat(spark, body, depth=2)
+@pytest.mark.parametrize("levels", [1, 12, 40])
+def test_any_depth(spark, levels):
+    body = '{"a":' * levels + "[1,{}]" + "}" * levels
+    assert flat(spark, body) == {".".join("a" * levels) + "[0]": "1"}
+
+
+def test_escaped_json_text_inside_arrays(spark):
+    inner = '{"k":{"l":[3]}}'.replace("{", "\\u007b").replace("[", "\\u005b").replace('"', '\\"')
+    assert flat(spark, f'["{inner}"]') == {"[0].k.l[0]": "3"}
+
+
+def test_deeper_than_the_parser_goes(spark):
+    body = "[" * 5000 + "]" * 5000
+    assert flat(spark, body) == {"": body}
 
 
 def test_properties_are_sorted(spark):
@@ -78,6 +87,6 @@ TREES = st.recursive(SCALARS, lambda t: st.lists(t, max_size=3) | st.dictionarie
 def test_any_document(spark, documents):
     df = spark.createDataFrame([(i, json.dumps(d)) for i, d in enumerate(documents)], "id int, body string")
     got = {}
-    for r in flatten_json(df, "body", ["id"], depth=9).collect():
+    for r in flatten_json(df, "body", ["id"]).collect():
         got.setdefault(r["id"], {})[r["path"]] = r["value"]
     assert [got.get(i, {}) for i in range(len(documents))] == [expected(d) for d in documents]
