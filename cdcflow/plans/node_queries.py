@@ -87,11 +87,13 @@ def _sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 
 @query(
-    """SELECT o_orderkey, c_name FROM orders LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 0) ON o_custkey = c_custkey"""
+    "SELECT c_custkey AS key, c_name, s_name FROM customer LEFT JOIN supplier ON c_custkey = s_suppkey"
 )
 def join_left(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders, customers = _sides(spark, sf_dir)
-    return N.equi_join(orders, customers.where("c_acctbal > 0"), ["custkey"], "left").select("o_orderkey", "c_name")
+    """Each customer with the supplier of its number, where there is one."""
+    customers = table(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "key")
+    suppliers = table(spark, sf_dir, "supplier").withColumnRenamed("s_suppkey", "key")
+    return N.equi_join(customers, suppliers, ["key"], "left", salt=2).select("key", "c_name", "s_name")
 
 
 @query("SELECT c_custkey AS custkey, c_name FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders)")
@@ -100,27 +102,32 @@ def join_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
     return N.equi_join(customers, orders, ["custkey"], "left_semi").select("custkey", "c_name")
 
 
-@query("SELECT c_custkey AS custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+@query(
+    """SELECT o_orderkey, o_custkey AS custkey FROM orders
+WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')"""
+)
 def join_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders of customers outside one segment."""
     orders, customers = _sides(spark, sf_dir)
-    return N.equi_join(customers, orders, ["custkey"], "left_anti").select("custkey", "c_name")
+    builders = customers.where("c_mktsegment = 'BUILDING'")
+    return N.equi_join(orders, builders, ["custkey"], "left_anti").select("o_orderkey", "custkey")
 
 
 @query(
-    """SELECT o_orderkey, c_custkey FROM (SELECT * FROM orders WHERE o_orderstatus = 'F') FULL JOIN customer
-ON o_custkey = c_custkey"""
+    "SELECT o_orderkey, p_partkey FROM orders FULL JOIN part ON o_custkey = p_partkey + 10"
 )
 def join_full(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").where("o_orderstatus = 'F'").withColumn("k", F.col("o_custkey"))
-    customers = table(spark, sf_dir, "customer").withColumn("k", F.col("c_custkey"))
-    return N.equi_join(orders, customers, ["k"], "full").select("o_orderkey", "c_custkey")
+    """Numbers shifted so that both sides have rows without a partner."""
+    orders = table(spark, sf_dir, "orders").withColumn("k", F.col("o_custkey"))
+    parts = table(spark, sf_dir, "part").withColumn("k", F.col("p_partkey") + 10)
+    return N.equi_join(orders, parts, ["k"], "full", salt=4).select("o_orderkey", "p_partkey")
 
 
-@query("SELECT p_partkey, s_suppkey FROM (SELECT * FROM part WHERE p_size > 40) RIGHT JOIN supplier ON p_partkey = s_suppkey")
+@query("SELECT s_suppkey, p_partkey FROM supplier RIGHT JOIN part ON s_suppkey = p_partkey")
 def join_right(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = table(spark, sf_dir, "part").where("p_size > 40").withColumn("k", F.col("p_partkey"))
+    parts = table(spark, sf_dir, "part").withColumn("k", F.col("p_partkey"))
     suppliers = table(spark, sf_dir, "supplier").withColumn("k", F.col("s_suppkey"))
-    return N.equi_join(parts, suppliers, ["k"], "right").select("p_partkey", "s_suppkey")
+    return N.equi_join(suppliers, parts, ["k"], "right", salt=2).select("s_suppkey", "p_partkey")
 
 
 @query(

@@ -53,10 +53,10 @@ def test_sort_cuts_through_a_key_of_many_rows(spark):
     assert sum(sizes) == 100_000 and max(sizes) < 40_000
 
 
-@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti", "right", "right_outer", "full", "outer"])
 def test_salted_joins_change_nothing(spark, how):
-    left = spark.range(200).select((F.col("id") % 3).alias("k"), "id")
-    right = spark.createDataFrame([(0, "x"), (0, "y"), (2, "z"), (7, "w")], "k bigint, v string")
+    left = spark.range(200).select(F.when(F.col("id") > 3, F.col("id") % 3).alias("k"), "id")
+    right = spark.createDataFrame([(0, "x"), (0, "y"), (2, "z"), (7, "w"), (None, "n")], "k bigint, v string")
     assert rows(equi_join(left, right, ["k"], how, salt=5)) == rows(equi_join(left, right, ["k"], how))
 
 
@@ -68,9 +68,28 @@ def test_salt_spreads_one_key(spark):
     assert len(counts) == 8 and max(counts) < 200
 
 
-def test_unsaltable_join(spark):
-    with pytest.raises(ValueError, match="cannot be salted"):
-        equi_join(spark.range(1), spark.range(1), ["id"], "full", salt=2)
+def test_salt_spreads_equal_rows(spark):
+    from cdcflow.operators.joins import row_salt
+
+    df = spark.range(0, 6400, 1, 64).select(F.lit(1).alias("k"))
+    counts = [r["count"] for r in df.groupBy(row_salt(df, 4).alias("s")).count().collect()]
+    assert len(counts) == 4 and max(counts) < 3200
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "right", "full", "left_semi", "left_anti"])
+def test_hot_keys_are_cut_in_every_kind(spark, how):
+    """A key of most left rows: no task of the join gets more than a part of them."""
+    left = spark.range(0, 80_000, 1, 8).select(F.when(F.col("id") % 10 == 0, F.col("id")).otherwise(5).alias("k"), "id")
+    right = spark.createDataFrame([(k, str(k)) for k in (10, 20, 100_001) + (() if how == "left_anti" else (5,))], "k bigint, v string")
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        sizes = equi_join(left, right, ["k"], how, salt=16).groupBy(F.spark_partition_id()).count().collect()
+        assert sum(r["count"] for r in sizes) > 70_000 and max(r["count"] for r in sizes) < 40_000
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "right", "full", "left_semi", "left_anti"])
