@@ -29,6 +29,11 @@ NON_TIME_SUFFIX = "NonTime"
 DEFAULT_PAGE_SIZE = 100
 DEFAULT_WAIT_MS = 0
 
+# Names of our own: the zone of the shift, the columns it applies to in map images, and the saved row offset.
+LOCAL_ZONE = "localZone"
+ZONED_COLUMNS = "zonedColumns"
+ROW_OFFSET = "rowOffset"
+
 
 def split_list(text: str | None) -> list[str]:
     """Comma list to names, trimmed, blanks dropped."""
@@ -40,6 +45,17 @@ def table_names(text: str | None) -> list[str]:
     return [name.split(".")[1] if "." in name else name for name in split_list(text)]
 
 
+def flat_properties(value: object, path: str = "") -> dict[str, object]:
+    """A job's nested configuration as one level: ``a.b`` for members, ``a[0]`` for elements."""
+    if isinstance(value, Mapping):
+        parts = [(f"{path}.{k}" if path else k, v) for k, v in value.items()]
+    elif isinstance(value, list):
+        parts = [(f"{path}[{i}]", v) for i, v in enumerate(value)]
+    else:
+        return {path: value}
+    return {k: v for name, part in parts for k, v in flat_properties(part, name).items()}
+
+
 @dataclass(frozen=True)
 class CaptureOptions:
     """What to capture, which columns to emit and where to start."""
@@ -50,6 +66,8 @@ class CaptureOptions:
     primary_key: list[str] = field(default_factory=list)
     update_time: str | None = None
     shift_to_local: bool = False
+    zone: str | None = None
+    zoned_columns: list[str] | None = None
     start_file: str | None = None
     start_position: int = 0
     start_timestamp_ms: int | None = None
@@ -58,6 +76,7 @@ class CaptureOptions:
     page_size: int = DEFAULT_PAGE_SIZE
     wait_ms: int = DEFAULT_WAIT_MS
     incremental: bool = True
+    row_offset: int = 0
     jdbc: dict[str, str] = field(default_factory=dict)
 
     @property
@@ -79,6 +98,8 @@ class CaptureOptions:
             primary_key=split_list(get(PRIMARY_KEY_COLUMNS)),
             update_time=(get(UPDATE_TIME_COLUMN) or "").strip() or None,
             shift_to_local=(get(TIMEZONE_ZERO) or "").lower() == "true",
+            zone=get(LOCAL_ZONE),
+            zoned_columns=split_list(get(ZONED_COLUMNS)) or None,
             start_file=start.get(BINLOG_FILE_NAME) or None,
             start_position=int(start.get(BINLOG_POSITION) or 0),
             start_timestamp_ms=int(start[BINLOG_TIMESTAMP]) if start.get(BINLOG_TIMESTAMP) else None,
@@ -87,10 +108,11 @@ class CaptureOptions:
             page_size=int(get(LIMIT) or DEFAULT_PAGE_SIZE),
             wait_ms=int(get(WAIT_TIME) or DEFAULT_WAIT_MS),
             incremental=(get(INCR_NEEDED) or "true").lower() == "true",
+            row_offset=int((saved or {}).get(ROW_OFFSET) or get(ROW_OFFSET) or 0),
             jdbc={"url": url, "user": get(USERNAME) or "", "password": get(PASSWORD) or ""},
         )
 
     @classmethod
     def from_json(cls, text: str, saved: Mapping[str, str] | None = None) -> CaptureOptions:
-        """Read a one-level JSON document of properties."""
-        return cls.from_properties(json.loads(text), saved)
+        """Read a JSON document of properties; those further down go by their path."""
+        return cls.from_properties(flat_properties(json.loads(text)), saved)

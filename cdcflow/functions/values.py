@@ -59,6 +59,12 @@ def wall_clock_as_local(ts: Column, zone: str) -> Column:
     return F.to_utc_timestamp(ts, zone)
 
 
+def shifted_ms(text: Column, zone: str) -> Column:
+    """The same for epoch milliseconds as text; other text stays."""
+    at = wall_clock_as_local(F.timestamp_millis(text.try_cast("bigint")), zone)
+    return F.coalesce(F.unix_millis(at).cast("string"), text)
+
+
 def parse_time(text: Column) -> Column:
     """Time text with milliseconds, else without; other text raises."""
     with_ms, plain = TIME_FORMATS

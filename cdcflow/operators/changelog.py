@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cdcflow.functions.values import file_number, utc_day, value_text, wall_clock_as_local
+from cdcflow.functions.values import file_number, shifted_ms, utc_day, value_text, wall_clock_as_local
 from cdcflow.operators.joins import lookup_join
 from cdcflow.operators.ordered import last_value
 
@@ -108,7 +108,8 @@ def named_images(row_events: DataFrame, catalog: DataFrame) -> tuple[DataFrame,
 
     Inserts fill ``after``, deletes ``before``, updates both; the other map stays empty. Inserts
     and deletes must have exactly the table's columns. Updates may carry extra cells, which are
-    not named, but not fewer. A table without a catalog entry is not registered and is left out.
+    not named, but not fewer. A table without a catalog entry is not registered and is left out; a
+    row whose table is not known at all, as no table map came before it, is among the rejects.
     """
     joined = lookup_join(row_events, catalog_names(catalog), ["db_table"])
     width = F.size("_names")
@@ -131,7 +132,8 @@ def named_images(row_events: DataFrame, catalog: DataFrame) -> tuple[DataFrame,
         }
     )
     rejects = joined.where(~fits)
-    return good.drop("_names", "before_cells", "after_cells"), rejects.drop("_names")
+    nameless = row_events.where(F.col("db_table").isNull())
+    return good.drop("_names", "before_cells", "after_cells"), rejects.drop("_names").unionByName(nameless)
 
 
 def effective_image() -> Column:
@@ -154,16 +156,21 @@ def emit_columns(
     image: str = "after",
     missing: str = "error",
     shift_zone: str | None = None,
+    zoned: list[str] | None = None,
 ) -> list[Column]:
     """The output columns as text, in order, taken from a map or typed struct image.
 
     In a struct, a name it does not have is an error, or null with ``missing='null'``; the keys of
     a map are only known per row, so there it is always null. ``shift_zone`` reads zoned
-    timestamps as wall clocks of that zone.
+    timestamps as wall clocks of that zone; a map holds them as epoch milliseconds, so ``zoned`` has to
+    name them there.
     """
     kind = log.schema[image].dataType
     if isinstance(kind, T.MapType):
-        return [F.try_element_at(F.col(image), F.lit(c)).alias(c) for c in columns]
+        if shift_zone and zoned is None:
+            raise ValueError("a zone shift of map images needs the names of the zoned columns")
+        texts = {c: F.try_element_at(F.col(image), F.lit(c)) for c in columns}
+        return [(shifted_ms(t, shift_zone) if shift_zone and c in zoned else t).alias(c) for c, t in texts.items()]
     unknown = [c for c in columns if c not in kind.names]
     if unknown and missing != "null":
         raise ValueError(f"no such column: {', '.join(unknown)}")

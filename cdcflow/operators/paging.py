@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import re
 import time
 from collections.abc import Callable, Iterator, Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cdcflow.config import DEFAULT_PAGE_SIZE, DEFAULT_WAIT_MS, NON_TIME_SUFFIX
 from cdcflow.operators.ordered import CHUNKS, block, running_sum
 
+_TIMES = (T.TimestampType, T.TimestampNTZType)
+_EPOCH_MS = re.compile(r"(-?\d+)(?:\.(\d{1,3}))?")
+
 
 def page_order(update_time: str, primary_key: list[str]) -> list[Column]:
     """Rows without an update time first, then by time and key."""
@@ -27,13 +32,40 @@ def _after(primary_key: list[str], values: list[Column]) -> Column:
     return reduce(lambda a, b: a | b, arms)
 
 
+def until_ms(table: DataFrame, update_time: str, ms: int) -> Column:
+    """Update time within or before a millisecond, or none; in a form that the scan can use."""
+    kind = table.schema[update_time].dataType
+    at = F.col(update_time) if isinstance(kind, _TIMES) else F.col(update_time).cast("timestamp")
+    bound = F.timestamp_millis(F.lit(ms + 1)).cast(kind if isinstance(kind, _TIMES) else "timestamp")
+    return F.col(update_time).isNull() | (at < bound)
+
+
+def progress_text(value: Column, data_type: T.DataType) -> Column:
+    """Text of a value in saved progress. Times are epoch milliseconds, as in the log, with a fraction if they have one."""
+    if not isinstance(data_type, _TIMES):
+        return value.cast("string")
+    micros = F.unix_micros(value.cast("timestamp"))
+    rest = F.pmod(micros, F.lit(1000))
+    ms = F.call_function("div", micros - rest, F.lit(1000)).cast("string")
+    return F.when(rest == 0, ms).otherwise(F.concat(ms, F.lit("."), F.lpad(rest.cast("string"), 3, "0")))
+
+
+def saved_value(text: str, data_type: T.DataType) -> Column:
+    """Value of a text in saved progress, whether a scan or the log has saved it. Times may also be written out."""
+    number = _EPOCH_MS.fullmatch(text.strip())
+    if not isinstance(data_type, _TIMES) or not number:
+        return F.lit(text).cast(data_type)
+    micros = int(number[1]) * 1000 + int((number[2] or "0").ljust(3, "0"))
+    return F.timestamp_micros(F.lit(micros)).cast(data_type)
+
+
 def rows_after(table: DataFrame, update_time: str, primary_key: list[str], saved: Mapping[str, str]) -> Column:
     """Which rows come after saved progress.
 
     Rows with a time: later ones, and those of the same time with a greater key; all of them if no
     time was saved. Rows without: those with a greater key than the last one seen without a time.
     """
-    typed = lambda name, text: F.lit(text).cast(table.schema[name].dataType)
+    typed = lambda name, text: saved_value(text, table.schema[name].dataType)
     keys = lambda suffix: [typed(k, saved[k + suffix]) for k in primary_key]
     has_time = update_time in saved and all(k in saved for k in primary_key)
     has_no_time = all(k + NON_TIME_SUFFIX in saved for k in primary_key)
@@ -66,8 +98,9 @@ def page_progress(
 ) -> dict[str, str]:
     """Progress after a page: its last row with a time and its last row without one."""
     has_time = F.col(update_time).isNotNull()
-    key = F.struct(*[F.col(k).cast("string").alias(k) for k in primary_key])
-    row = F.struct(F.col(update_time).cast("string").alias("t"), key.alias("k"))
+    text = lambda c: progress_text(F.col(c), page.schema[c].dataType)
+    key = F.struct(*[text(k).alias(k) for k in primary_key])
+    row = F.struct(text(update_time).alias("t"), key.alias("k"))
     by = F.struct(update_time, *primary_key)
     timed = F.max_by(row, F.when(has_time, by)).alias("timed")
     untimed = F.max_by(row, F.when(~has_time, by)).alias("untimed")
@@ -110,8 +143,7 @@ def keyset_pages(
         started = time.monotonic()
         table = read()
         if stop_after_ms is not None:
-            at = F.unix_millis(F.col(update_time).cast("timestamp"))
-            table = table.where(at.isNull() | (at <= stop_after_ms))
+            table = table.where(until_ms(table, update_time, stop_after_ms))
         page = keyset_page(table, update_time, primary_key, progress, page_size).persist()
         try:
             after = page_progress(page, update_time, primary_key, progress)

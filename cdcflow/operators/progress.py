@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,11 +16,15 @@ from cdcflow.config import (
 from cdcflow.functions.values import file_number, has_text
 from cdcflow.operators.changelog import emit_columns
 from cdcflow.operators.joins import lookup_join
+from cdcflow.operators.ordered import CHUNKS, blocks, last_value
+from cdcflow.operators.paging import until_ms
 
 # Queue size a backlog is measured against, and the alert level.
 BACKLOG_CAPACITY = 10_000
 BACKLOG_LEVEL = 0.8
 
+SAMPLES_PER_BLOCK = 100_000
+
 
 def progress_keys(primary_key: list[str], update_time: str | None, text_of) -> Column:
     """Key values saved for a row: key and time, or the key under its no-time name."""
@@ -43,7 +47,7 @@ def latest_offsets(log: DataFrame, primary_key: list[str], update_time: str | No
     kept = F.col("after") if isinstance(image, T.MapType) else F.struct(*[F.col("after")[c].alias(c) for c in wanted])
     newest = log.groupBy("db_table").agg(
         F.max_by(
-            F.struct("binlog_file", "binlog_pos", "event_ts_ms", "gtid", kept.alias("after")),
+            F.struct("binlog_file", "binlog_pos", "event_ts_ms", "gtid", "row_seq", kept.alias("after")),
             F.struct(file_number(F.col("binlog_file")), "binlog_pos", "row_seq"),
         ).alias("at")
     )
@@ -56,6 +60,7 @@ def latest_offsets(log: DataFrame, primary_key: list[str], update_time: str | No
         "binlog_pos",
         "event_ts_ms",
         "gtid",
+        "row_seq",
     )
 
 
@@ -65,7 +70,7 @@ def merge_offsets(saved: DataFrame, newer: DataFrame) -> DataFrame:
     row = F.struct(*[c for c in both.columns if c != "db_table"])
     return (
         both.groupBy("db_table")
-        .agg(F.max_by(row, F.struct(file_number(F.col("binlog_file")), "binlog_pos")).alias("at"))
+        .agg(F.max_by(row, F.struct(file_number(F.col("binlog_file")), "binlog_pos", "row_seq")).alias("at"))
         .select("db_table", "at.*")
     )
 
@@ -86,8 +91,7 @@ def saved_progress(offsets: DataFrame, db_table: str) -> dict[str, str]:
 
 def hand_over(snapshot: DataFrame, changes: DataFrame, update_time: str, log_start_ms: int) -> DataFrame:
     """Snapshot rows up to the log's start, then the log from its start; both ends included."""
-    time = F.unix_millis(F.col(update_time).cast("timestamp"))
-    before = snapshot.where(time.isNull() | (time <= log_start_ms))
+    before = snapshot.where(until_ms(snapshot, update_time, log_start_ms))
     after = changes.where(F.col("event_ts_ms") >= log_start_ms).select(*snapshot.columns)
     return before.unionByName(after)
 
@@ -102,12 +106,18 @@ def backlog_alerts(
 ) -> DataFrame:
     """``alert`` at every level over the threshold, ``recovered`` at the first one back under it.
 
-    Expects one row per sampling interval, so the single ordered pass is over a short table.
+    Levels are samples with a time (a timestamp or a whole number) and are looked at in its order, in blocks of time; samples
+    without a time or level are left out.
     """
+    known = levels.where(F.col(time).isNotNull() & F.col(level).isNotNull())
+    is_number = isinstance(levels.schema[time].dataType, T.IntegralType)
+    at = F.col(time).cast("bigint") if is_number else F.unix_seconds(F.col(time).cast("timestamp"))
     full = F.col(level) > F.lit(capacity * threshold)
-    was_full = F.lag(full, 1, False).over(Window.orderBy(time))
-    state = F.when(full, "alert").when(was_full, "recovered")
-    return levels.withColumn("state", state).where(F.col("state").isNotNull())
+    states = last_value(
+        known.withColumns(blocks(at, SAMPLES_PER_BLOCK)), [], CHUNKS, [time], full, "_was_full", inclusive=False
+    )
+    state = F.when(full, "alert").when(F.col("_was_full"), "recovered")
+    return states.withColumn("state", state).where(F.col("state").isNotNull()).drop("_was_full", *CHUNKS)
 
 
 def fan_out(log: DataFrame, handlers: DataFrame) -> DataFrame:

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from cdcflow.config import CaptureOptions
+from cdcflow.config import NON_TIME_SUFFIX, ROW_OFFSET, CaptureOptions
+from cdcflow.functions.values import stringify
 from cdcflow.operators.changelog import (
     emit,
     from_position,
@@ -17,7 +19,10 @@ from cdcflow.operators.changelog import (
     outside_txn_set,
     typed_columns,
 )
+from cdcflow.operators.paging import new_rows, next_offset, offset_page
 from cdcflow.operators.progress import hand_over
+from cdcflow.schema import OFFSETS, resolve_columns
+from cdcflow.sources.tables import key_columns
 from cdcflow.streaming.jobs import each_batch, save_offsets
 
 
@@ -30,9 +35,18 @@ def selected_changes(log: DataFrame, options: CaptureOptions, include_deletes: b
 
 
 def capture(log: DataFrame, options: CaptureOptions, zone: str | None = None, **how) -> DataFrame:
-    """Output rows of a change log. ``zone`` is used when the options ask for the zone shift."""
-    shift = zone if options.shift_to_local else None
-    return emit(selected_changes(log, options), options.output_columns, shift_zone=shift, **how)
+    """Output rows of a change log.
+
+    When the options ask for the zone shift, they or ``zone`` must name the zone.
+    """
+    return _emitted(selected_changes(log, options), options, zone, **how)
+
+
+def _emitted(changes: DataFrame, options: CaptureOptions, zone: str | None = None, **how) -> DataFrame:
+    shift = (zone or options.zone) if options.shift_to_local else None
+    if options.shift_to_local and shift is None:
+        raise ValueError("the zone shift is on, but no zone is given")
+    return emit(changes, options.output_columns, shift_zone=shift, zoned=options.zoned_columns, **how)
 
 
 def capture_stream(
@@ -40,16 +54,45 @@ def capture_stream(
 ) -> StreamingQuery:
     """Stream output rows to Parquet and keep the offsets table next to them.
 
-    A batch writes its rows under its own id before its offsets, so a repeat replaces it.
+    A batch writes its rows under its own id before its offsets, so a repeat replaces it. Its events are
+    read once for both.
     """
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        capture(batch, options).write.mode("overwrite").parquet(os.path.join(path, f"batch={batch_id}"))
-        save_offsets(selected_changes(batch, options), options.primary_key, options.update_time, offsets, batch_id)
+        changes = selected_changes(batch, options).persist()
+        try:
+            _emitted(changes, options).write.mode("overwrite").parquet(os.path.join(path, f"batch={batch_id}"))
+            save_offsets(changes, options.primary_key, options.update_time, offsets, batch_id)
+        finally:
+            changes.unpersist()
 
     return each_batch(log, save, checkpoint, once=once)
 
 
+def scan(
+    table: DataFrame, options: CaptureOptions, saved: Mapping[str, str] | None = None
+) -> tuple[DataFrame, dict[str, str]]:
+    """Output rows that a table has gained since saved progress, and the progress after them.
+
+    An incremental scan goes by update time and key, from the progress of an earlier scan or of the log. Else it
+    takes the next page after the saved row offset, by its one key.
+    """
+    if options.incremental:
+        keys, time = key_columns(table, options)
+        place = {k: v for k, v in (saved or {}).items() if k in {time, *keys, *[key + NON_TIME_SUFFIX for key in keys]}}
+        rows, progress = new_rows(table, time, keys, place)
+        return stringify(rows, options.output_columns), progress
+    (key,) = resolve_columns(table.columns, options.primary_key)
+    start = int((saved or {}).get(ROW_OFFSET, options.row_offset))
+    page = offset_page(table, key, start, options.page_size)
+    return stringify(page, options.output_columns), {ROW_OFFSET: str(next_offset(start, page))}
+
+
+def scan_offsets(spark: SparkSession, db_table: str, progress: Mapping[str, str]) -> DataFrame:
+    """Progress of a scan as a row of the offsets table."""
+    return spark.createDataFrame([(db_table, dict(progress), None, None, None, None, None)], OFFSETS)
+
+
 def snapshot_then_log(snapshot: DataFrame, log: DataFrame, options: CaptureOptions, log_start_ms: int) -> DataFrame:
     """A table's rows up to the log's start, then its changes, in the same columns."""
     log = selected_changes(log, options)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +24,7 @@ from cdcflow.plans.derived import (
 )
 from cdcflow.plans.registry import query, table
 from cdcflow.schema import COLUMN_CATALOG
+from cdcflow.sources.changes import parse_records, unreadable_records
 
 ZONE = "Asia/Shanghai"
 ZONE_OFFSET_MS = 28_800_000
@@ -280,3 +283,61 @@ def emit_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def table_scan_as_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stringify(table(spark, sf_dir, "events"), ["event_id", "ts", "user_id", "event_type", "props"])
+
+
+@query(
+    f"""WITH {LOG_SQL}
+SELECT event_id, event_type, CAST(epoch_us(updated) // 1000 - {ZONE_OFFSET_MS} AS VARCHAR) AS updated
+FROM log WHERE op <> 'delete' AND db_table IN ('app.user_0', 'app.user_1')"""
+)
+def zone_shift_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shift in map images, whose times are epoch milliseconds as text."""
+    log = change_log(spark, sf_dir)
+    names = ["event_type", "updated"]
+    pairs = zip(names, C.emit_columns(log, names))
+    texts = F.create_map(*[c for name, text in pairs for c in (F.lit(name), text)])
+    options = CaptureOptions(
+        "app", ["user_0", "user_1"], names, shift_to_local=True, zone=ZONE, zoned_columns=["updated"]
+    )
+    return capture(log.withColumn("after", texts), options, keep=["event_id"])
+
+
+@query(
+    f"""WITH {LOG_SQL}, maps AS (
+  SELECT user_id % 3 AS n, min(event_id) AS first_event FROM log WHERE event_id >= {EVENTS_PER_NAME} GROUP BY ALL)
+SELECT event_id, op, gtid FROM log LEFT JOIN maps ON user_id % 3 = n WHERE coalesce(event_id < first_event, true)"""
+)
+def unresolved_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row events ahead of the first table map of their id, as when a log is read from its middle."""
+    late_maps = table_maps(spark, sf_dir).where(~F.col("db_table").endswith("_v0"))
+    resolved = C.resolve_table_ids(row_headers(spark, sf_dir), late_maps)
+    cells = {side: F.array().cast("array<string>") for side in ("before_cells", "after_cells")}
+    _, rejects = C.named_images(resolved.withColumns(cells), _catalog(spark))
+    return rejects.select("event_id", "op", "gtid")
+
+
+@query(f"WITH {LOG_SQL} SELECT event_id, op = 'delete' AS unreadable FROM log")
+def json_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Change events sent as JSON, some of them cut off on the way; none gets lost."""
+    log = change_log(spark, sf_dir)
+    body = F.to_json(F.struct("db_table", "op", "binlog_file", "binlog_pos", "row_seq", "event_ts_ms", "gtid"))
+    cut = F.when(F.col("op") == "delete", F.substring(body, 1, 40)).otherwise(body)
+    sent = log.select("event_id", F.encode(cut, "UTF-8").alias("value"))
+    read = parse_records(sent).select((F.substring_index("gtid", ":", -1).cast("bigint") - 1).alias("event_id"), F.lit(False).alias("unreadable"))
+    return read.unionByName(unreadable_records(sent).select("event_id", F.lit(True).alias("unreadable")))
+
+
+@query(
+    f"""WITH {LOG_SQL}
+SELECT count(*) AS n, count(*) AS ids, true AS in_time, 'main' AS route FROM log WHERE op <> 'delete'"""
+)
+def envelope_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The envelope of all emitted rows: an id of its own for each, and an emit time of now."""
+    started = int(time.time() * 1000)
+    rows = emit_envelope(spark, sf_dir)
+    return rows.agg(
+        F.count("*").alias("n"),
+        F.count_distinct("_uuid").alias("ids"),
+        F.min(F.col("_emit_time").between(started, F.unix_millis(F.current_timestamp()))).alias("in_time"),
+        F.min("_route_path").alias("route"),
+    )

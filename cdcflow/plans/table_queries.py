@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from cdcflow import sinks
 from cdcflow.operators import paging
 from cdcflow.operators import progress as P
-from cdcflow.plans.capture import snapshot_then_log
+from cdcflow.operators.joins import equi_join
+from cdcflow.plans.capture import scan, scan_offsets, snapshot_then_log
 from cdcflow.config import CaptureOptions
 from cdcflow.plans.derived import LOG_SQL, change_log
 from cdcflow.plans.registry import query, table
@@ -77,7 +78,7 @@ fresh AS (SELECT * FROM o WHERE (o_updated = TIMESTAMP '1996-03-01' AND o_orderk
   OR o_updated > TIMESTAMP '1996-03-01' OR (o_updated IS NULL AND o_orderkey > 1400)),
 last_timed AS (SELECT * FROM fresh WHERE o_updated IS NOT NULL ORDER BY o_updated DESC, o_orderkey DESC LIMIT 1)
 SELECT (SELECT count(*) FROM fresh) AS n, CAST(o_orderkey AS VARCHAR) AS o_orderkey,
-       strftime(o_updated, '%Y-%m-%d %H:%M:%S') AS o_updated,
+       CAST(epoch_us(o_updated) // 1000 AS VARCHAR) AS o_updated,
        CAST(coalesce((SELECT max(o_orderkey) FROM fresh WHERE o_updated IS NULL), 1400) AS VARCHAR) AS "o_orderkeyNonTime"
 FROM last_timed"""
 )
@@ -93,6 +94,58 @@ def offset_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paging.offset_page(orders, "o_orderkey", offset=1300, page_size=100, rows_per_chunk=1_000)
 
 
+SCAN = CaptureOptions("shop", ["orders"], ["o_orderkey", "o_custkey", TIME], ["O_ORDERKEY"], "O_UPDATED")
+
+
+@query(
+    f"""WITH {ORDERS_SQL}
+SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,
+       CAST(epoch_us(o_updated) // 1000 AS VARCHAR) AS o_updated
+FROM o WHERE (o_updated = TIMESTAMP '1996-03-01' AND o_orderkey > 700)
+  OR o_updated > TIMESTAMP '1996-03-01' OR (o_updated IS NULL AND o_orderkey > 1400)"""
+)
+def incremental_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scan job after progress that an earlier scan saved with the offsets."""
+    kept = scan_offsets(spark, "shop.orders", SAVED)
+    return scan(_orders(spark, sf_dir), SCAN, P.saved_progress(kept, "shop.orders"))[0]
+
+
+@query(
+    """SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, '1400' AS next_offset
+FROM (SELECT * FROM orders ORDER BY o_orderkey LIMIT 100 OFFSET 1300)"""
+)
+def offset_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scan job without key and time, a page after the row offset that the offsets hold."""
+    options = CaptureOptions.from_properties(
+        {"jdbcUrl": "jdbc:mysql://db/shop", "tableName": "orders", "primaryKeyColumns": "o_orderkey",
+         "outputColumns": "o_orderkey,o_custkey", "incrNeeded": "false", "limit": "100"}
+    )
+    kept = scan_offsets(spark, "shop.orders", {"rowOffset": "1300"})
+    rows, after = scan(table(spark, sf_dir, "orders"), options, P.saved_progress(kept, "shop.orders"))
+    return rows.withColumn("next_offset", F.lit(after["rowOffset"]))
+
+
+@query(
+    f"""WITH {LATEST_SQL}, place AS (
+  SELECT * FROM log WHERE db_table = 'app.user_0' AND event_ts_ms < {HAND_OVER_MS} ORDER BY file_no DESC, binlog_pos DESC LIMIT 1)
+SELECT CAST(user_id AS VARCHAR) AS user_id, event_type, CAST(epoch_us(updated) // 1000 AS VARCHAR) AS updated
+FROM (SELECT s.*, a.updated AS a_updated, a.user_id AS a_user_id FROM snap s, place a)
+WHERE updated IS NULL OR updated > a_updated OR (updated = a_updated AND user_id > a_user_id)"""
+)
+def scan_resumed_from_log_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of a snapshot after the place that the log has saved for a table."""
+    log = change_log(spark, sf_dir)
+    early = log.where((F.col("db_table") == "app.user_0") & (F.col("event_ts_ms") < HAND_OVER_MS))
+    saved = P.saved_progress(P.latest_offsets(early, ["user_id"], "updated"), "app.user_0")
+    options = CaptureOptions("app", ["user_0"], ["user_id", "event_type", "updated"], ["user_id"], "updated")
+    return scan(_newest_rows(log), options, saved)[0]
+
+
+def _newest_rows(log: DataFrame) -> DataFrame:
+    newest = F.max_by(F.struct("user_id", "event_type", "updated"), "event_id").alias("r")
+    return log.select("event_id", "after.*").groupBy("user_id").agg(newest).select("r.*")
+
+
 @query("SELECT 'orders_' || CAST(o_orderkey % 4 AS VARCHAR) AS _table, o_orderkey, o_custkey FROM orders")
 def sharded_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
@@ -102,14 +155,21 @@ def sharded_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """SELECT 'shop' AS table_schema, 'orders' AS table_name, column_name, CAST(ordinal AS INTEGER) AS ordinal, rows
-FROM (VALUES ('o_orderkey', 0), ('o_custkey', 1), ('o_orderstatus', 2), ('o_totalprice', 3), ('o_orderdate', 4),
-             ('o_orderpriority', 5)) AS t(column_name, ordinal), (SELECT count(*) AS rows FROM orders)"""
+    """SELECT 'shop' AS table_schema, 'orders' AS table_name, column_name, CAST(ordinal AS INTEGER) AS ordinal, data_type,
+  filled FROM (
+  VALUES ('o_orderkey', 0, 'bigint', (SELECT count(o_orderkey) FROM orders)),
+         ('o_custkey', 1, 'bigint', (SELECT count(o_custkey) FROM orders)),
+         ('o_orderstatus', 2, 'string', (SELECT count(o_orderstatus) FROM orders)),
+         ('o_totalprice', 3, 'double', (SELECT count(o_totalprice) FROM orders)),
+         ('o_orderdate', 4, 'timestamp_ntz', (SELECT count(o_orderdate) FROM orders)),
+         ('o_orderpriority', 5, 'string', (SELECT count(o_orderpriority) FROM orders))
+) AS t(column_name, ordinal, data_type, filled)"""
 )
 def column_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The catalog of a table, with how many values each column holds."""
     orders = table(spark, sf_dir, "orders")
-    rows = orders.agg(F.count("*").alias("rows"))
-    return S.column_catalog(orders, "shop", "orders").drop("data_type").join(F.broadcast(rows))
+    filled = orders.agg(*[F.count(c).alias(c) for c in orders.columns]).unpivot([], orders.columns, "column_name", "filled")
+    return S.column_catalog(orders, "shop", "orders").join(filled, "column_name")
 
 
 @query(
@@ -122,8 +182,7 @@ WHERE event_ts_ms >= {HAND_OVER_MS} AND op <> 'delete'"""
 def snapshot_handoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each user's newest row, then the log from the hand-over on."""
     log = change_log(spark, sf_dir)
-    newest = F.max_by(F.struct("user_id", "event_type", "updated"), "event_id").alias("r")
-    rows = log.select("event_id", "after.*").groupBy("user_id").agg(newest).select("r.*")
+    rows = _newest_rows(log)
     options = CaptureOptions(
         database="app", tables=["user_0", "user_1", "user_2"], output_columns=rows.columns, update_time="updated"
     )
@@ -143,16 +202,17 @@ def hand_over_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """WITH bounds AS (SELECT min(o_custkey) AS lo, max(o_custkey) AS hi FROM orders)
+    """WITH urgent AS (SELECT * FROM orders WHERE o_orderpriority = '1-URGENT'),
+bounds AS (SELECT min(o_orderkey) AS lo, max(o_orderkey) AS hi FROM urgent)
 SELECT value FROM (SELECT unnest(range(lo, hi + 1)) AS value FROM bounds)
-WHERE value NOT IN (SELECT o_custkey FROM orders)"""
+WHERE value NOT IN (SELECT o_orderkey FROM urgent)"""
 )
 def sequence_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Numbers of the customer sequence that no order uses."""
-    orders = table(spark, sf_dir, "orders")
-    low, high = orders.agg(F.min("o_custkey"), F.max("o_custkey")).first()
-    used = orders.select(F.col("o_custkey").alias("value"))
-    return S.sequence(spark, low, high).join(used, "value", "left_anti")
+    """Numbers of the order sequence that no urgent order uses."""
+    urgent = table(spark, sf_dir, "orders").where("o_orderpriority = '1-URGENT'")
+    low, high = urgent.agg(F.min("o_orderkey"), F.max("o_orderkey")).first()
+    used = urgent.select(F.col("o_orderkey").alias("value"))
+    return equi_join(S.sequence(spark, low, high), used, ["value"], "left_anti")
 
 
 @query(
@@ -165,6 +225,17 @@ def rows_as_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.json_rows(table(spark, sf_dir, "customer").select("c_custkey", "c_name", segment))
 
 
+@query(
+    """SELECT o_orderkey, CAST(o_orderkey AS VARCHAR) || '0000000000000000000000.123456789012345678901234567890' AS price
+FROM orders"""
+)
+def typed_wide_decimals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decimals wider than Spark's, with 30 places, keep every digit."""
+    wide = F.concat(F.col("o_orderkey").cast("string"), F.lit("0" * 22 + ".123456789012345678901234567890"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", wide.alias("price"))
+    return orders.select(*sinks.typed_columns(orders, [-5, 3]))
+
+
 @query(
     """SELECT CAST(o_orderkey AS INTEGER) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_totalprice,
        CAST(o_orderdate AS DATE) AS o_orderdate, CAST(NULL AS VARCHAR) AS o_orderpriority FROM orders"""

@@ -22,7 +22,7 @@ CHANGE_EVENT = _struct(db_table=_STRING, op=_STRING, before=_IMAGE, after=_IMAGE
 ROW_EVENT = _struct(table_id=_LONG, op=_STRING, before_cells=_CELLS, after_cells=_CELLS, **_PLACE)
 TABLE_MAP = _struct(table_id=_LONG, db_table=_STRING, binlog_file=_STRING, binlog_pos=_LONG, event_ts_ms=_LONG)
 OFFSETS = _struct(
-    db_table=_STRING, info=_IMAGE, binlog_file=_STRING, binlog_pos=_LONG, event_ts_ms=_LONG, gtid=_STRING
+    db_table=_STRING, info=_IMAGE, binlog_file=_STRING, binlog_pos=_LONG, event_ts_ms=_LONG, gtid=_STRING, row_seq=_INT
 )
 COLUMN_CATALOG = _struct(
     table_schema=_STRING, table_name=_STRING, column_name=_STRING, ordinal=_INT, data_type=_STRING

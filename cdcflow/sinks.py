@@ -20,6 +20,7 @@ SQL_TYPES = {
     -4: "binary", -3: "binary", -2: "binary",
 }
 SQL_NULL = 0
+_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 TIME_PATTERN = "HH:mm:ss"
 
 
@@ -27,7 +28,7 @@ def typed_columns(df: DataFrame, codes: list[int]) -> list[Column]:
     """Columns cast to their SQL type codes, in order.
 
     Code 0 writes null, an unknown code leaves the column as it is, and a value that does not fit
-    raises. The number of codes must be the number of columns.
+    raises. No digit of a decimal is cut: text of a number stays text, as databases have wider decimals than Spark. The number of codes must be the number of columns.
     """
     if len(codes) != len(df.columns):
         raise ValueError(f"{len(codes)} types for {len(df.columns)} columns")
@@ -41,13 +42,23 @@ def _typed(df: DataFrame, name: str, code: int) -> Column:
     if code not in SQL_TYPES:
         return value
     target = SQL_TYPES[code]
-    if target.startswith("decimal") and source.typeName() == "decimal":
-        return value
+    if target.startswith("decimal"):
+        if source.typeName() == "string":
+            return _number_text(value)
+        if source.typeName() in ("decimal", "double", "float"):
+            return value
     if code == 92 and source.typeName().startswith("timestamp"):
         return F.date_format(value, TIME_PATTERN)
     return value.cast(target)
 
 
+def _number_text(value: Column) -> Column:
+    """Text of a number, which the database reads with all its digits; any other text raises."""
+    text = F.trim(value)
+    bad = F.raise_error(F.concat(F.lit("not a number: "), text)).cast("string")
+    return F.when(text.rlike(_NUMBER), text).when(text.isNotNull(), bad)
+
+
 def write_typed(df: DataFrame, codes: list[int], url: str, table: str, properties: Mapping[str, str]) -> None:
     """Append typed rows to a database table."""
     df.select(*typed_columns(df, codes)).write.jdbc(url, table, mode="append", properties=dict(properties))

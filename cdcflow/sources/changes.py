@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cdcflow.functions.values import utf8_text
 from cdcflow.schema import CHANGE_EVENT
 
 
@@ -40,9 +41,37 @@ def stream_kafka(
     return parse_records(reader.load())
 
 
-def parse_records(records: DataFrame, value: str = "value", schema: T.StructType = CHANGE_EVENT) -> DataFrame:
-    """JSON records, text or bytes, to change events."""
-    return records.select(F.from_json(F.col(value).cast("string"), schema).alias("_e")).select("_e.*")
+_UNREADABLE = "_unreadable"
+
+
+def _parsed(records: DataFrame, value: str, schema: T.StructType, mode: str) -> Column:
+    options = {"mode": mode, "columnNameOfCorruptRecord": _UNREADABLE}
+    fields = T.StructType([*schema, T.StructField(_UNREADABLE, T.StringType())])
+    return F.from_json(utf8_text(F.col(value)), fields if mode == "PERMISSIVE" else schema, options)
+
+
+def parse_records(
+    records: DataFrame, value: str = "value", schema: T.StructType = CHANGE_EVENT, strict: bool = False
+) -> DataFrame:
+    """JSON records, text or bytes, to change events.
+
+    Records that are no such events (null, empty, broken or with a value of another type) are in
+    ``unreadable_records``, or end the job with ``strict``.
+    """
+    if strict:
+        return records.select(_parsed(records, value, schema, "FAILFAST").alias("_e")).select("_e.*")
+    events = records.select(_parsed(records, value, schema, "PERMISSIVE").alias("_e")).where(_is_readable(F.col("_e")))
+    return events.select(*[F.col("_e")[name].alias(name) for name in schema.names])
+
+
+def unreadable_records(records: DataFrame, value: str = "value", schema: T.StructType = CHANGE_EVENT) -> DataFrame:
+    """The records that give no change event, as they came."""
+    parsed = records.withColumn("_e", _parsed(records, value, schema, "PERMISSIVE"))
+    return parsed.where(~_is_readable(F.col("_e"))).drop("_e")
+
+
+def _is_readable(event: Column) -> Column:
+    return event.isNotNull() & event[_UNREADABLE].isNull()
 
 
 def stream_lines(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:

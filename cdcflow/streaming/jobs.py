@@ -29,13 +29,16 @@ def each_batch(
 
 
 def by_table(handlers: Mapping[str, Iterable[Callable[[DataFrame, int], None]]]) -> Callable[[DataFrame, int], None]:
-    """A batch handler that gives each table's events to all handlers registered for it."""
+    """A batch handler that gives each table's events, read once, to all handlers registered for it."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         for db_table, functions in handlers.items():
-            events = batch.where(F.col("db_table") == db_table)
-            for fn in functions:
-                fn(events, batch_id)
+            events = batch.where(F.col("db_table") == db_table).persist()
+            try:
+                for fn in functions:
+                    fn(events, batch_id)
+            finally:
+                events.unpersist()
 
     return handle
 

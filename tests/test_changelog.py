@@ -1,3 +1,5 @@
+import dataclasses
+
 import pytest
 from conftest import plan, rows
 from pyspark.sql import functions as F
@@ -10,7 +12,7 @@ from cdcflow.operators import progress as P
 from cdcflow.plans.capture import capture, snapshot_then_log
 from cdcflow.schema import CHANGE_EVENT, COLUMN_CATALOG, ROW_EVENT, TABLE_MAP
 from cdcflow.session import shared_dir
-from cdcflow.sources.changes import parse_records, read_changes
+from cdcflow.sources.changes import parse_records, read_changes, unreadable_records
 from cdcflow.sources.tables import column_catalog
 
 UUID = "3e11fa47-71ca-11e1-9e33-c80aa9429562"
@@ -193,6 +195,27 @@ def test_json_records(spark):
     assert (row["db_table"], row["after"], row["binlog_pos"], row["gtid"]) == ("app.a", {"id": "1"}, 4, None)
 
 
+def test_unreadable_records_are_kept_apart(spark):
+    good = '{"db_table":"app.a","op":"insert"}'
+    sent = [good, '{"db_table":"app', "", "[", '{"binlog_pos":"x"}', None]
+    df = spark.createDataFrame([(t,) for t in sent], "value string")
+    assert [r["db_table"] for r in parse_records(df).collect()] == ["app.a"]
+    assert sorted(r[0] or "" for r in unreadable_records(df).collect()) == sorted(t or "" for t in sent[1:])
+    with pytest.raises(Exception, match="(?i)malformed"):
+        parse_records(df, strict=True).collect()
+
+
+def test_zone_shift_is_never_skipped(spark):
+    options = CaptureOptions("app", ["a"], ["id", "at"], shift_to_local=True)
+    df = log(spark, event(1, table="app.a", after={"id": "1", "at": "28800000"}), event(2, table="app.a", after={"id": "x", "at": "x"}))
+    with pytest.raises(ValueError, match="no zone"):
+        capture(df, options)
+    with pytest.raises(ValueError, match="zoned columns"):
+        capture(df, options, zone="Asia/Shanghai")
+    options = dataclasses.replace(options, zone="Asia/Shanghai", zoned_columns=["at"])
+    assert rows(capture(df, options)) == [("1", "0"), ("x", "x")]
+
+
 def test_landed_log_prunes_and_pushes_filters(spark):
     day = 86_400_000
     path = shared_dir(spark, "landed")

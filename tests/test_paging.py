@@ -35,6 +35,21 @@ def test_resume_in_the_middle(spark):
     assert ids(G.keyset_page(table(spark), "at", ["id"], saved, 1000)) == [r[0] for r in ORDER[40:]]
 
 
+def test_progress_has_one_form(spark):
+    ms = int((DAY + dt.timedelta(days=3)).replace(tzinfo=dt.UTC).timestamp() * 1000)
+    for text in (str(ms), f"{ms}.000", str(DAY + dt.timedelta(days=3))):
+        saved = {"id": "50", "at": text, "idNonTime": "95"}
+        expected = [i for i, at in ORDER if (at is None and i > 95) or (at and (at, i) > (DAY + dt.timedelta(days=3), 50))]
+        assert ids(G.keyset_page(table(spark), "at", ["id"], saved, 1000)) == expected
+
+
+@pytest.mark.parametrize("micros", [0, 1, 999_999, -1, -1_000_001, 1_700_000_000_123_456])
+def test_progress_keeps_every_microsecond(spark, micros):
+    df = spark.range(1).select(F.timestamp_micros(F.lit(micros)).alias("t"))
+    text = df.select(G.progress_text(F.col("t"), df.schema["t"].dataType)).first()[0]
+    assert df.where(F.col("t") == G.saved_value(text, df.schema["t"].dataType)).count() == 1
+
+
 def test_late_rows_without_time_come_next(spark):
     saved = {"id": "100", "at": "2030-01-01 00:00:00", "idNonTime": "90"}
     assert ids(G.keyset_page(table(spark), "at", ["id"], saved)) == [95, 100]

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cdcflow import schema as S
-from cdcflow.config import CaptureOptions, split_list, table_names
+from cdcflow.config import CaptureOptions, flat_properties, split_list, table_names
 from cdcflow.functions import conditions as C
 from cdcflow.functions import values as V
 
@@ -120,6 +120,12 @@ def test_options():
     assert resumed.gtid_set == "u:1-3"
 
 
+def test_nested_options():
+    options = CaptureOptions.from_json('{"jdbcUrl":"jdbc:mysql://h/shop","tableName":"t","a":{"b":[1,{"c":2}]}}')
+    assert options.db_tables == ["shop.t"]
+    assert flat_properties({"a": {"b": [1, {"c": 2}]}, "d": None}) == {"a.b[0]": 1, "a.b[1].c": 2, "d": None}
+
+
 def test_conditions(spark):
     df = spark.createDataFrame([(1, "x"), (5, "y"), (None, "x")], "n int, s string")
     spec = {"logicType": "or", "conditions": [
