@@ -7,7 +7,7 @@ unit repeats by chance in clean documents, so repeats are removed where neighbou
 Removed spans keep their byte offsets in the original text.
 
 Only digests and counts of all units are shuffled first; units whose digest occurs once go no further. Counts are taken before
-the shuffle, and the join that follows may split a digest that very many documents hold.
+the shuffle. The most frequent units, a fixed number of them, are joined by broadcast, so no task gets all rows of one.
 
 Nulls and odd rows: a null text is empty and stays null; null ids rank last; rows equal in id and text count as one document;
 an empty frame gives an empty result; other columns stay in the struct ``row``, so names can't clash.
@@ -26,6 +26,9 @@ from cdcflow.llm.arrays import fold, mix, powers, prefix_hashes, span_hashes, st
 from cdcflow.llm.frames import pick, saved, text_key, tidy
 
 MIN_WORDS = 20
+#: Of so many of the most frequent units, the rows stay where they are and their owners are sent to them. Any other unit has less
+#: than one row in so many.
+HOT_UNITS = 1000
 _SENTENCE_END = np.zeros(256, bool)
 _SENTENCE_END[list(b".!?")] = True
 
@@ -119,19 +122,28 @@ def _cut(min_words: int):
     return run
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+def _owners(units: DataFrame) -> DataFrame:
+    """The document that keeps each unit: the one with the least id."""
+    first = F.min(F.struct(F.col("id").isNull(), "id", "key")).alias("first")
+    return units.where("not inner").groupBy("h1", "h2").agg(first).select("h1", "h2", F.col("first.key").alias("owner"))
+
+
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, hot_units: int = HOT_UNITS) -> DataFrame:
     """row (the input row), kept (its text without repeated passages), removed (array of start, end in bytes) for each row."""
     base = pick(docs, id=id_col, text=text_col)
     key = F.xxhash64("id", text_key("text"))
     id_type = base.schema["id"].dataType.simpleString()
     units = base.select("id", key.alias("key"), "text").mapInArrow(tidy(_units), f"id {id_type}, key bigint, unit bigint, start bigint, end bigint, words bigint, h1 bigint, h2 bigint, inner boolean"
     )
-    common = units.where("not inner").groupBy("h1").agg(F.count("*").alias("n")).where("n > 1").select("h1", F.lit(True).alias("common"))
-    shared = saved(units.join(common, "h1", "left").where("inner or common").drop("common"), "units")
-    owner = (
-        shared.where("not inner").groupBy("h1", "h2").agg(F.min(F.struct(F.col("id").isNull(), "id", "key")).alias("first")).select("h1", "h2", F.col("first.key").alias("owner"))
-    )
-    repeats = shared.join(owner, ["h1", "h2"], "left").where("inner or key != owner")
+    counts = saved(units.where("not inner").groupBy("h1").agg(F.count("*").alias("n")).where("n > 1"), "counts")
+    hot = counts.orderBy(F.desc("n"), "h1").limit(hot_units).select("h1", F.lit(True).alias("hot"))
+    # A hot unit is common whatever it meets, so its rows are dealt by themselves and not by their digest.
+    dealt = units.join(F.broadcast(hot), "h1", "left").withColumn("by", F.when(F.col("hot"), F.xxhash64("key", "unit")).otherwise(F.col("h1")))
+    common = counts.select(F.col("h1").alias("by"), F.lit(True).alias("common"))
+    shared = saved(dealt.join(common, "by", "left").where("inner or hot or common").drop("by", "common"), "units")
+    hot_rows, others = shared.where("hot"), shared.where("hot is null")
+    owned = hot_rows.join(F.broadcast(_owners(hot_rows)), ["h1", "h2"], "left").unionByName(others.join(_owners(others), ["h1", "h2"], "left"))
+    repeats = owned.where("inner or key != owner")
     by_doc = repeats.groupBy("key").agg(F.collect_set(F.struct("unit", "start", "end", "words")).alias("units"))  # of one document
     rows = docs.select(F.struct("*").alias("row"), F.xxhash64(docs[id_col], text_key(docs[text_col])).alias("key"), docs[text_col].alias("text"))
     joined = rows.join(by_doc, "key", "left").select("row", "text", "units")

@@ -221,6 +221,9 @@ def test_line_dedup(spark, odd, none):
             kept, at = kept + raw[at : s["start"]], s["end"]
         assert (kept + raw[at:]).decode() == got[doc_id][0]
     assert line_dedup.remove_repeats(none).count() == 0
+    many = spark.createDataFrame(docs + [(5 + i, f"{passage}\nTail {i}.") for i in range(40)], "doc_id bigint, text string")
+    cold, hot = (values(line_dedup.remove_repeats(many, hot_units=n), "row.doc_id", "kept") for n in (1, 1000))
+    assert sorted(cold) == sorted(hot) and all(kept == f"\nTail {i - 5}." for i, kept in hot if i >= 5)
     assert len(values(line_dedup.remove_repeats(odd), "kept", "row.key")) == odd.count()
 
 
