@@ -227,6 +227,31 @@ def test_line_dedup(spark, odd, none):
     assert len(values(line_dedup.remove_repeats(odd), "kept", "row.key")) == odd.count()
 
 
+def without_repeats(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    return [kept for _, kept in sorted(values(line_dedup.remove_repeats(df), "row.doc_id", "kept"))]
+
+
+@pytest.mark.parametrize("kind", ["lower", "capitals", "no spaces"])
+def test_line_dedup_of_passages_inside_sentences(spark, kind):
+    draw = np.random.default_rng(3)
+    letters, sep = ("\u6f22\u5b57\u4eee\u540d\u4e2d\u6587", "") if kind == "no spaces" else ("abcdef", " ")
+    word = lambda: "".join(draw.choice(list(letters), 7))
+    run = lambda n: [word().capitalize() if kind == "capitals" and i % 9 == 4 else word() for i in range(n)]
+    passages = [run(60) for _ in range(8)]
+    hosts = [(run(k + 3), run(2 * k + 4)) for k in range(16)]
+    texts = [sep.join([*a, *passages[k % 8], *b]) for k, (a, b) in enumerate(hosts)]
+    kept = without_repeats(spark, texts)
+    assert kept[:8] == texts[:8]
+    edge = 15  # words, the most that may stay on a side
+    for (a, b), text in zip(hosts[8:], kept[8:], strict=True):
+        assert text.startswith(sep.join(a)) and text.endswith(sep.join(b))
+        if sep:
+            assert len(text.split()) <= len(a) + len(b) + 2 * edge
+        else:
+            assert len(text) <= 7 * (len(a) + len(b)) + 2 * edge
+
+
 def test_imatch(odd, none):
     got = values(imatch.fingerprint_edits(odd, range_bytes=20_000), "doc_id", "n_chars", "edited_sha256", "fingerprint", "near_edited", "near_next")
     rows = [(r[0], r[1] or "") for r in values(odd, "doc_id", "text")]
