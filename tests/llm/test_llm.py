@@ -252,6 +252,13 @@ def test_line_dedup_of_passages_inside_sentences(spark, kind):
             assert len(text) <= 7 * (len(a) + len(b)) + 2 * edge
 
 
+def test_line_dedup_of_short_lines(spark):
+    shared = ["All rights reserved by the people who wrote it.", "Contents", "\u6771\u4eac\u90fd", "\u00dcber uns"]
+    texts = ["\n".join([f"only{k} here{k}", *shared, f"last{k}"]) for k in range(3)] + ["a\nmenu\nb\nmenu\nc", shared[0], f"Not a line: {shared[0]}"]
+    kept = without_repeats(spark, texts)
+    assert kept == [texts[0], "only1 here1\n\nlast1", "only2 here2\n\nlast2", "a\nmenu\nb\n\nc", "", texts[5]]
+
+
 def test_imatch(odd, none):
     got = values(imatch.fingerprint_edits(odd, range_bytes=20_000), "doc_id", "n_chars", "edited_sha256", "fingerprint", "near_edited", "near_next")
     rows = [(r[0], r[1] or "") for r in values(odd, "doc_id", "text")]
