@@ -259,6 +259,12 @@ def test_line_dedup_of_short_lines(spark):
     assert kept == [texts[0], "only1 here1\n\nlast1", "only2 here2\n\nlast2", "a\nmenu\nb\n\nc", "", texts[5]]
 
 
+def test_line_dedup_keeps_neighbours_that_repeat_in_different_documents(spark):
+    pieces = [" ".join(f"{name}{i}" for i in range(8)).capitalize() + "." for name in ("p", "q", "r")]
+    texts = [f"Start{k} here. {piece} End{k} there." for k, piece in enumerate(pieces)] + ["Own. " + " ".join(pieces) + " Tail."]
+    assert without_repeats(spark, texts) == texts
+
+
 def test_imatch(odd, none):
     got = values(imatch.fingerprint_edits(odd, range_bytes=20_000), "doc_id", "n_chars", "edited_sha256", "fingerprint", "near_edited", "near_next")
     rows = [(r[0], r[1] or "") for r in values(odd, "doc_id", "text")]
