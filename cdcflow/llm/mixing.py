@@ -160,3 +160,11 @@ def mixed_rows(mixed: DataFrame, text_col: str = "text") -> DataFrame:
     cut = F.when(F.col("piece.words") < F.col("size"), first_words(text, F.col("piece.words"))).otherwise(text)
     columns = [(cut if name == text_col else F.col(f"row.`{name}`")).alias(name) for name in fields]
     return taken.select(F.col("piece.shard").alias("_shard"), F.col("piece.key").alias("_key"), F.struct(*columns).alias("row")).select("_shard", "_key", "row")
+
+
+def in_shards(rows: DataFrame) -> DataFrame:
+    """``mixed_rows`` dealt so that a write's files, in the order of their names, hold shard after shard, each in key order.
+
+    Ranges cut through a shard, so a shard is no task's whole load.
+    """
+    return rows.repartitionByRange("_shard", "_key").sortWithinPartitions("_shard", "_key")

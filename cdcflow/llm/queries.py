@@ -122,7 +122,7 @@ def op10_url_filter(spark, sf_dir):
 def op2_mixing(spark, sf_dir):
     mixed = mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     taken = F.aggregate("pieces", F.lit(0).cast("bigint"), lambda total, p: total + p["words"])
-    return mixed.select("row.doc_id", "size", "source_size", "target", taken.alias("taken"))
+    return mixed.select("row.doc_id", "size", "source_size", "target", taken.alias("taken"), "pieces")
 
 
 @query()

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from cdcflow.llm.frames import saved, small_batches
 from cdcflow.llm.line_dedup import remove_repeats
-from cdcflow.llm.mixing import mix, mixed_rows
+from cdcflow.llm.mixing import in_shards, mix, mixed_rows
 from cdcflow.llm.ngram_join import keep_one_of_each
 from cdcflow.llm.packing import pack, token_pieces
 from cdcflow.llm.quality import score, train
@@ -46,9 +46,9 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The rows that the mix takes, a row for each time."""
+    """The rows that the mix takes, a row for each time, written by shard in the order of their keys."""
     small_batches(spark)
-    rows = saved(mixed_rows(mix(docs)).select("row"), "mixed")
+    rows = saved(in_shards(mixed_rows(mix(docs))).select("row"), "mixed")
     return _with_text(rows, F.col("row.text"))
 
 

@@ -4,6 +4,7 @@ import collections
 import hashlib
 import zlib
 
+import corpus_pipeline
 import duckdb
 import numpy as np
 import public_tokenizers
@@ -64,6 +65,25 @@ def test_mix(odd, none):
     assert sum(len(t.split()) for (t,) in values(rows, "text")) == sum(taken.values())
 
 
+def test_mix_is_dealt_and_written_by_shard(spark):
+    docs = [(k, " ".join(f"w{k}x{i}" for i in range(4)), source) for k, source in enumerate(["a"] * 300 + ["b"] * 150 + ["c"] * 90 + [None] * 60)]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string, source string").withColumn("n_chars", F.length("text"))
+    dealt, targets = collections.defaultdict(set), {}
+    for source, target, pieces in values(mixing.mix(df, shards=5, block_words=16), "row.source", "target", "pieces"):
+        targets[source] = target
+        for p in pieces:
+            dealt[p["shard"], source].add(p["block"])
+    sources = ["a", "b", "c", None]
+    quotas = np.array([-(-round(targets[s]) // 16) for s in sources])
+    for shard in range(5):
+        assert [len(dealt[shard, s]) for s in sources] == mixing.split_quotas(quotas, shard, 5, 5).tolist()
+    want = [r[2] for r in sorted(values(mixing.mixed_rows(mixing.mix(df)), "_shard", "_key", "row.doc_id"))]
+    written = values(corpus_pipeline.source_mix(spark, df, DATA), F.input_file_name(), "doc_id")
+    assert [r[1] for r in sorted(written, key=lambda r: r[0].rsplit("/", 1)[1])] == want
+    pieces = values(QUERIES["op2_mixing"](spark, DATA), "taken", "pieces")
+    assert all(sum(p["words"] for p in of) == n and all(0 <= p["shard"] < 16 for p in of) for n, of in pieces)
+
+
 def test_targets_and_tree(spark):
     sizes = spark.createDataFrame([("a", 10), ("b", 1000), ("c", 1000), (None, 50)], "source string, source_size bigint")
     got = {r[0]: r[1] for r in values(mixing.targets(sizes), "source", "target")}
