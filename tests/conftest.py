@@ -3,13 +3,12 @@ import sys
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+sys.path[:0] = [os.path.dirname(os.path.dirname(os.path.abspath(__file__))), os.path.dirname(os.path.abspath(__file__))]
 
 from pyspark.sql import SparkSession  # noqa: E402
 
 from cdcflow.session import configure  # noqa: E402
-
-DATA = "/root/testdata/sf0.001"
+from helpers import DATA  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -30,12 +29,3 @@ def spark():
 @pytest.fixture(scope="session")
 def data():
     return DATA
-
-
-def rows(df, *columns):
-    """Rows as sorted tuples."""
-    return sorted((tuple(r) for r in (df.select(*columns) if columns else df).collect()), key=repr)
-
-
-def plan(df):
-    return df._jdf.queryExecution().executedPlan().toString()

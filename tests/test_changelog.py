@@ -1,7 +1,7 @@
 import dataclasses
 
 import pytest
-from conftest import plan, rows
+from helpers import plan, rows
 from pyspark.sql import functions as F
 
 from cdcflow import sinks

@@ -5,7 +5,7 @@ import os
 
 import duckdb
 import pytest
-from conftest import DATA
+from helpers import DATA
 
 import __spark_entry__ as entry_file
 from cdcflow.plans.all_queries import QUERIES, SQL

@@ -2,7 +2,7 @@ import datetime as dt
 import random
 
 import pytest
-from conftest import plan
+from helpers import plan
 from pyspark.sql import functions as F
 
 from cdcflow.config import CaptureOptions

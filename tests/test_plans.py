@@ -3,7 +3,7 @@
 import re
 
 import pytest
-from conftest import plan
+from helpers import plan
 
 import __spark_entry__ as entry_file
 from cdcflow.operators.paging import rows_after

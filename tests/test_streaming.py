@@ -1,7 +1,7 @@
 import shutil
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 from test_changelog import event, log
 
