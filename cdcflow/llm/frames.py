@@ -19,10 +19,10 @@ def small_batches(spark: SparkSession, rows: int = 2_000) -> SparkSession:
     return spark
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
-    """Write a frame to the cluster's shared folder and read it back: no executor that goes can take it along."""
+def saved(df: DataFrame, name: str, *folders: str) -> DataFrame:
+    """Write a frame to the cluster's shared folder, in folders by some columns, and read it back: no executor that goes can take it along."""
     path = shared_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.partitionBy(*folders).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -8,9 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cdcflow.llm.filter_audit import audit
 from cdcflow.llm.frames import saved, small_batches
 from cdcflow.llm.imatch import fingerprint_edits
 from cdcflow.llm.line_dedup import remove_repeats
+from cdcflow.llm.line_runs import drop_common_lines
+from cdcflow.llm.merkle import leaf_digest, manifest, small_letters
 from cdcflow.llm.metric_search import top_by_inner_product
 from cdcflow.llm.mixing import mix
 from cdcflow.llm.ngram_join import similar_texts
@@ -188,3 +191,127 @@ def op9_suffix_dedup(spark, sf_dir):
         F.size("removed").cast("bigint").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+AUDIT_SQL = """
+with copies as (select coalesce(text, '') t, min(doc_id) least from documents group by all),
+good as (select doc_id, max(cast(coalesce(quality = 1, false) as int)) good, max(cast(coalesce(toxic = 1, false) as int)) toxic from labels where doc_id is not null group by doc_id),
+docs as (
+    select coalesce(source, '') part, t, list_filter(regexp_split_to_array(t, '[ \\t-\\r]+'), lambda x: x <> '') w, coalesce(doc_id > least, false) e,
+           coalesce(good, 0) good, coalesce(toxic, 0) toxic
+    from documents join copies on t = coalesce(text, '') left join good using (doc_id)),
+failures as (
+    select part, good, toxic, [len(w) < 50, 100 * len(list_distinct(w)) < 65 * len(w),
+           100 * (length(t) - length(regexp_replace(t, '[A-Z]+', '', 'g'))) > 5 * length(t), regexp_matches(t, '[#$%&*|]'), e] f
+    from docs),
+cells as (select part, f, count(*) n, sum(good) good, sum(toxic) toxic from failures group by part, f),
+letters(l) as (values (1), (2), (3), (4), (5)),
+orders as (
+    select [a.l, b.l, c.l, d.l, e.l] o from letters a, letters b, letters c, letters d, letters e
+    where len(list_distinct([a.l, b.l, c.l, d.l, e.l])) = 5),
+steps as (
+    select o, l step, o[l] own, array_to_string(list_transform(o, lambda i: chr(64 + cast(i as int))), '') filter_order from orders, letters),
+met as (
+    select part, filter_order, step, own, n, good, toxic, f[own] fails,
+           len(list_filter(o[1:step - 1], lambda i: f[i])) > 0 gone, len(list_filter(f, lambda x: x)) n_fails
+    from cells, steps),
+counts as (
+    select part, filter_order, step, own,
+           coalesce(sum(n) filter (not gone and not fails), 0) kept, coalesce(sum(n) filter (not gone and fails), 0) removed,
+           coalesce(sum(n) filter (gone and fails), 0) redundant, coalesce(sum(n) filter (fails and n_fails = 1), 0) unique_fails,
+           coalesce(sum(good) filter (not gone and fails), 0) good_lost, coalesce(sum(toxic) filter (not gone and fails), 0) toxic_lost
+    from met group by part, filter_order, step, own)
+select part, filter_order, cast(step as int) step, cast(kept as bigint) kept, cast(removed as bigint) removed, cast(redundant as bigint) redundant,
+       cast(unique_fails as bigint) unique_fails, cast(good_lost as bigint) good_lost, cast(toxic_lost as bigint) toxic_lost,
+       cast(sum(removed) over (partition by part, own) as bigint) shapley
+from counts
+"""
+
+
+@query(AUDIT_SQL)
+def op11_filter_audit(spark, sf_dir):
+    return audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+LINES_SQL = """
+with lines as (
+    select row_no, doc_id, unnest(l) line, unnest(range(len(l))) i
+    from (select row_number() over () row_no, doc_id, string_split(coalesce(text, ''), chr(10)) l from documents)),
+keyed as (
+    select *, translate(trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') key from lines),
+common as (select key, max(doc_id) last from keyed where length(key) >= 40 group by key having count(distinct row_no) >= 5),
+marked as (select k.*, c.key is not null and k.doc_id is distinct from c.last going from keyed k left join common c using (key))
+select any_value(doc_id) doc_id, count(*) n_lines, count(*) filter (going) n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) order by i) filter (not going), '')) kept_sha256
+from marked group by row_no
+"""
+
+
+@query(LINES_SQL)
+def op12_line_runs(spark, sf_dir):
+    done = drop_common_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return done.select("row.doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+def _merkle_sql(levels: int = 12) -> str:
+    """One step of SQL for each level, of the languages' trees and of the tree over them: enough for 8**12 rows."""
+
+    def field(value: str) -> str:
+        return f"coalesce(strlen(cast({value} as varchar)) || ':' || {value}, '-')"
+
+    def leaf(text: str) -> str:
+        return f"sha256({' || '.join([field(c) for c in ('doc_id', 'source', 'lang', 'n_chars')] + [field(text)])})"
+
+    def tree(name: str, docs: str) -> str:
+        """Nodes ``name``0 (grp, pos, h) and documents ``docs`` (n, grp, pos, x, proof), up to one node a group."""
+        out = []
+        for k in range(levels):
+            run = "over (partition by grp, pos // 8 order by pos rows between"
+            out.append(
+                f"""{name}s{k} as (
+    select *, count(*) over (partition by grp) c, coalesce(string_agg(h, '') {run} unbounded preceding and 1 preceding), '') l,
+           coalesce(string_agg(h, '') {run} 1 following and unbounded following), '') r from {name}{k}),
+{name}{k + 1} as (
+    select grp, pos // 8 pos, case when any_value(c) = 1 then any_value(h) else sha256(string_agg(h, '' order by pos)) end h
+    from {name}s{k} group by grp, pos // 8),
+{docs}{name}{k + 1} as (
+    select n, grp, pos // 8 pos, case when c = 1 then x else sha256(l || x || r) end x, case when c = 1 then proof else proof || l || r end proof
+    from {docs}{name}{k} join {name}s{k} using (grp, pos))"""
+            )
+        return ",\n".join(out)
+
+    return f"""
+with recursive crc as (
+    select distinct doc_id, cast(xor(list_reduce(
+        list_prepend(4294967295, list_transform(string_split(cast(doc_id as varchar), ''), lambda ch: cast(ascii(ch) as bigint))),
+        lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, _: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) as bigint) crc
+    from documents where doc_id is not null),
+docs as (
+    select row_number() over (order by doc_id nulls first, {leaf('text')}) n, doc_id, lang, {leaf('text')} leaf,
+           case when crc % 3 = 0 then {leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} else {leaf('text')} end changed
+    from documents left join crc using (doc_id)),
+placed as (
+    select *, dense_rank() over (order by lang nulls first) - 1 grp, row_number() over (partition by lang order by n) - 1 pos from docs),
+a0 as (select grp, pos, leaf h from placed),
+da0 as (select n, grp, pos, changed x, '' proof from placed),
+{tree('a', 'd')},
+b0 as (select 0 grp, grp pos, h from a{levels}),
+db0 as (select n, 0 grp, grp pos, x, proof from da{levels}),
+{tree('b', 'd')}
+select doc_id, leaf, a.h subroot, b.h root, sha256(d.proof) proof_sha256, d.x folded_root, d.x = b.h verified
+from placed p join a{levels} a on a.grp = p.grp join b{levels} b on true join db{levels} d on d.n = p.n
+"""
+
+
+@query(_merkle_sql())
+def op13_merkle_manifest(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    rows = docs.select(
+        F.col("doc_id").alias("id"),
+        F.col("lang").alias("part"),
+        leaf_digest(*fields, F.col("text")).alias("node"),
+        F.when(tampered, leaf_digest(*fields, small_letters(F.col("text")))).alias("changed"),
+    )
+    return manifest(rows).withColumnRenamed("id", "doc_id").withColumn("verified", F.col("folded_root") == F.col("root"))

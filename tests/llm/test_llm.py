@@ -27,7 +27,7 @@ def values(df, *columns):
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_queries_match_their_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "embeddings"):
+    for t in ("documents", "pages", "embeddings", "labels"):
         con.execute(f"create view {t} as select * from '{DATA}/{t}.parquet'")
     want = con.execute(SQL[name])
     columns = sorted(c[0] for c in want.description)
