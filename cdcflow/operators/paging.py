@@ -113,15 +113,34 @@ def page_progress(
     return out
 
 
+def progress_after(table: DataFrame, update_time: str, primary_key: list[str], saved: Mapping[str, str] | None = None, page_size: int | None = None) -> dict[str, str]:
+    """Progress after the next page, or after all rows there are. Only key columns are read."""
+    keys = table.select(*dict.fromkeys([update_time, *primary_key]))
+    if page_size is not None:
+        rows = keyset_page(keys, update_time, primary_key, saved, page_size)
+    else:
+        rows = keys.where(rows_after(keys, update_time, primary_key, saved)) if saved else keys
+    return page_progress(rows, update_time, primary_key, saved)
+
+
+def page_rows(
+    table: DataFrame, update_time: str, primary_key: list[str], saved: Mapping[str, str] | None, progress: Mapping[str, str]
+) -> DataFrame:
+    """Rows after saved progress and up to a later one, whatever the table has gained beyond."""
+    rows = table.where(rows_after(table, update_time, primary_key, saved)) if saved else table
+    return rows.where(~F.coalesce(rows_after(table, update_time, primary_key, progress), F.lit(False))) if progress else rows.limit(0)
+
+
 def new_rows(
     table: DataFrame, update_time: str, primary_key: list[str], saved: Mapping[str, str] | None = None
 ) -> tuple[DataFrame, dict[str, str]]:
     """All rows after saved progress as one parallel read, and the progress after them.
 
-    What the pages hold together, for tables too large to be paged through.
+    What the pages hold together, for tables too large to be paged through. The read ends at the progress found, so rows that
+    come in between are left to the next one.
     """
-    rows = table.where(rows_after(table, update_time, primary_key, saved)) if saved else table
-    return rows, page_progress(rows, update_time, primary_key, saved)
+    progress = progress_after(table, update_time, primary_key, saved)
+    return page_rows(table, update_time, primary_key, saved, progress), progress
 
 
 def keyset_pages(

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +22,8 @@ from cdcflow.operators.paging import new_rows, next_offset, offset_page
 from cdcflow.operators.progress import hand_over
 from cdcflow.schema import OFFSETS, resolve_columns
 from cdcflow.sources.tables import key_columns
-from cdcflow.streaming.jobs import each_batch, save_offsets
+from cdcflow.streaming.jobs import later_offsets
+from cdcflow.streaming.manifest import Manifest, committed
 
 
 def selected_changes(log: DataFrame, options: CaptureOptions, include_deletes: bool = False) -> DataFrame:
@@ -49,24 +49,15 @@ def _emitted(changes: DataFrame, options: CaptureOptions, zone: str | None = Non
     return emit(changes, options.output_columns, shift_zone=shift, zoned=options.zoned_columns, **how)
 
 
-def capture_stream(
-    log: DataFrame, options: CaptureOptions, path: str, checkpoint: str, offsets: str, once: bool = True
-) -> StreamingQuery:
-    """Stream output rows to Parquet and keep the offsets table next to them.
+def capture_stream(log: DataFrame, options: CaptureOptions, path: str, checkpoint: str, once: bool = True) -> StreamingQuery:
+    """Stream output rows and offsets, each batch's both or none: ``read_captured`` and ``read_offsets`` see committed batches only."""
+    manifest = Manifest(log.sparkSession, path)
 
-    A batch writes its rows under its own id before its offsets, so a repeat replaces it. Its events are
-    read once for both.
-    """
-
-    def save(batch: DataFrame, batch_id: int) -> None:
-        changes = selected_changes(batch, options).persist()
-        try:
-            _emitted(changes, options).write.mode("overwrite").parquet(os.path.join(path, f"batch={batch_id}"))
-            save_offsets(changes, options.primary_key, options.update_time, offsets, batch_id)
-        finally:
-            changes.unpersist()
+    def make(changes: DataFrame, before: dict) -> dict:
+        offsets = later_offsets(changes, options.primary_key, options.update_time, manifest.read("offsets", before))
+        return {"append": {"rows": _emitted(changes, options)}, "replace": {"offsets": offsets}}
 
-    return each_batch(log, save, checkpoint, once=once)
+    return committed(selected_changes(log, options), manifest, make, checkpoint, once=once)
 
 
 def scan(
@@ -100,6 +91,6 @@ def snapshot_then_log(snapshot: DataFrame, log: DataFrame, options: CaptureOptio
     return hand_over(snapshot, changes, options.update_time, log_start_ms)
 
 
-def read_captured(spark: SparkSession, path: str) -> DataFrame:
-    """Rows written by ``capture_stream``."""
-    return spark.read.parquet(path).drop("batch")
+def read_captured(spark: SparkSession, path: str) -> DataFrame | None:
+    """Rows that ``capture_stream`` has committed; none before its first batch."""
+    return Manifest(spark, path).read("rows")

@@ -13,6 +13,7 @@ from cdcflow.plans.capture import capture, capture_stream, read_captured
 from cdcflow.session import shared_dir
 from cdcflow.sources.changes import stream_changes, stream_lines
 from cdcflow.streaming import jobs
+from cdcflow.streaming.manifest import Manifest
 
 OPTIONS = CaptureOptions(database="app", tables=["a", "b"], output_columns=["id", "at"], primary_key=["id"], update_time="at")
 
@@ -41,28 +42,30 @@ def batches(spark):
 
 def test_capture_restarts_without_loss_or_repeats(spark):
     work = shared_dir(spark, "restart")
-    source, out, check, offsets = (f"{work}/{n}" for n in ("in", "out", "check", "offsets"))
+    source, out, check = (f"{work}/{n}" for n in ("in", "out", "check"))
     all_events = None
     for i, part in enumerate(batches(spark)):
         add(part, source, f"p{i}")
         all_events = part if all_events is None else all_events.unionByName(part)
         stream = stream_changes(spark, source, files_per_batch=1)
-        capture_stream(stream, OPTIONS, out, check, offsets).awaitTermination()
+        capture_stream(stream, OPTIONS, out, check).awaitTermination()
         assert rows(read_captured(spark, out)) == rows(capture(all_events, OPTIONS))
         wanted = P.latest_offsets(C.only_changes(C.only_tables(all_events, OPTIONS.db_tables)), ["id"], "at")
-        assert rows(jobs.read_offsets(spark, offsets)) == rows(wanted)
+        assert rows(jobs.read_offsets(spark, out)) == rows(wanted)
 
 
 def test_a_repeated_batch_changes_nothing(spark):
     first, second, _ = batches(spark)
     path = f"{shared_dir(spark, 'offsets')}/o"
-    jobs.save_offsets(first, ["id"], "at", path, 0)
-    jobs.save_offsets(second, ["id"], "at", path, 1)
+    manifest = Manifest(spark, path)
+    save = lambda part, i: manifest.commit(i, replace={"offsets": jobs.later_offsets(part, ["id"], "at", manifest.read("offsets"))})
+    assert jobs.read_offsets(spark, path).count() == 0
+    assert save(first, 0)
+    assert rows(jobs.read_offsets(spark, path)) == rows(P.latest_offsets(first, ["id"], "at"))
+    assert save(second, 1)
     once = rows(jobs.read_offsets(spark, path))
-    jobs.save_offsets(second, ["id"], "at", path, 1)
-    assert rows(jobs.read_offsets(spark, path)) == once
-    assert rows(jobs.read_offsets(spark, path, before=1)) == rows(P.latest_offsets(first, ["id"], "at"))
-    assert jobs.read_offsets(spark, f"{path}/none").count() == 0
+    assert not save(second, 1) and not save(first, 0)
+    assert rows(jobs.read_offsets(spark, path)) == once == rows(P.latest_offsets(first.unionByName(second), ["id"], "at"))
 
 
 def test_emit_stream(spark):
