@@ -13,9 +13,11 @@ from pyspark.sql import functions as F
 from cdcflow.session import shared_dir
 
 
-def small_batches(spark: SparkSession, rows: int = 2_000) -> SparkSession:
-    """Hand whole texts to Python in batches of fewer rows than Spark's default, to bound a worker's memory."""
+def small_batches(spark: SparkSession, rows: int = 2_000, most_bytes: str | None = None) -> SparkSession:
+    """Hand whole texts to Python in batches of fewer rows, and fewer bytes, than Spark's default, to bound a worker's memory."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    if most_bytes:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", most_bytes)
     return spark
 
 

@@ -27,6 +27,8 @@ from cdcflow.llm.frames import pick, tidy
 
 WINDOW = 1024
 PIECE_ROWS_PER_GROUP = 100_000
+#: Bytes of token ids, of whole documents, that a task hands on at a time.
+STEP_BYTES = 1 << 20
 _ORDINAL_BITS = 48
 
 
@@ -105,26 +107,28 @@ def token_pieces(
 
     ``ids`` holds little-endian unsigned 32-bit numbers. ``ranks_path`` is a vocabulary file that every machine has.
     """
-    marks = tuple(special.items())
+    marks, end = tuple(special.items()), np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoding = _encoding(ranks_path, pattern, marks)
         for batch in batches:
-            rows, starts, lengths, ids, totals = [], [], [], [], []
-            for row, text in enumerate(batch.column("text").to_pylist()):
-                tokens = encoding.encode(text or "", allowed_special="all")
-                tokens.append(end_id)
-                raw = np.array(tokens, "<u4").tobytes()
-                for start in range(0, len(tokens), window):
-                    rows.append(row)
-                    starts.append(start)
-                    lengths.append(min(window, len(tokens) - start))
-                    ids.append(raw[4 * start : 4 * (start + window)])
-                    totals.append(len(tokens))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id").take(pa.array(rows, pa.int64())), pa.array(starts, pa.int64()), pa.array(lengths, pa.int64()), pa.array(ids, pa.binary()), pa.array(totals, pa.int64())],
-                ["id", "start", "length", "ids", "doc_tokens"],
-            )
+            texts, row = batch.column("text"), 0
+            while row < len(texts):
+                rows, starts, lengths, ids, totals, size = [], [], [], [], [], 0
+                while row < len(texts) and size < STEP_BYTES:
+                    raw = encoding.encode_to_numpy(texts[row].as_py() or "", allowed_special="all").astype("<u4").tobytes() + end
+                    n = len(raw) // 4
+                    for start in range(0, n, window):
+                        rows.append(row)
+                        starts.append(start)
+                        lengths.append(min(window, n - start))
+                        ids.append(raw[4 * start : 4 * (start + window)])
+                        totals.append(n)
+                    row, size = row + 1, size + len(raw)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("id").take(pa.array(rows, pa.int64())), pa.array(starts, pa.int64()), pa.array(lengths, pa.int64()), pa.array(ids, pa.binary()), pa.array(totals, pa.int64())],
+                    ["id", "start", "length", "ids", "doc_tokens"],
+                )
 
     base = pick(docs, id=id_col, text=text_col)
     id_type = base.schema["id"].dataType.simpleString()
