@@ -27,7 +27,7 @@ def _with_text(rows: DataFrame, text: Column) -> DataFrame:
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality network, trained on the labels outside the held-out fold, doesn't reject."""
-    small_batches(spark)
+    small_batches(spark, most_bytes="2m")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = train(docs, labels.where(~held_out(F.col("doc_id"))))
     return score(docs, model).where(F.col("score") >= LEAST_SCORE).select("row.*")
@@ -35,26 +35,26 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of texts linked by 0.8 similarity of five-word shingles."""
-    small_batches(spark)
+    small_batches(spark, most_bytes="2m")
     return keep_one_of_each(docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that an earlier document has."""
-    small_batches(spark)
+    small_batches(spark, most_bytes="2m")
     return _with_text(remove_repeats(docs), F.col("kept"))
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The rows that the mix takes, a row for each time, written by shard in the order of their keys."""
-    small_batches(spark)
+    small_batches(spark, most_bytes="2m")
     rows = saved(in_shards(mixed_rows(mix(docs))).select("row"), "mixed")
     return _with_text(rows, F.col("row.text"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces with their sequence and offset."""
-    small_batches(spark)
+    small_batches(spark, most_bytes="2m")
     pieces = token_pieces(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, SPECIAL_TOKENS)
     return pack(saved(pieces.withColumnRenamed("id", "doc_id"), "pieces"))
 
