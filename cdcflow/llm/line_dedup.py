@@ -204,7 +204,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     repeats = shared.where("hot is null").select("key", "place").unionByName(hot_repeats.select("key", "place"))
     repeats = repeats.select("key", F.struct(start.alias("start"), end.alias("end")).alias("span"))
     by_doc = repeats.groupBy("key").agg(F.collect_set("span").alias("units"))  # of one document
-    rows = docs.select(F.struct("*").alias("row"), F.xxhash64(docs[id_col], text_key(docs[text_col])).alias("key"), docs[text_col].alias("text"))
-    joined = rows.join(by_doc, "key", "left").select("row", "text", "units")
+    rows = docs.select(F.struct("*").alias("row"), F.xxhash64(docs[id_col], text_key(docs[text_col])).alias("key"))
+    joined = rows.join(by_doc, "key", "left").select("row", F.col(f"row.`{text_col}`").alias("text"), "units")  # the text is shuffled once
     row_type = joined.schema["row"].dataType.simpleString()
     return joined.mapInArrow(tidy(_cut), f"row {row_type}, kept string, removed array<struct<start: bigint, end: bigint>>")
