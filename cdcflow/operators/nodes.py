@@ -13,8 +13,13 @@ from cdcflow.operators.joins import equi_join, lookup_join  # noqa: F401  (equi_
 
 
 def process(df: DataFrame, fn: Callable[[DataFrame], DataFrame], parallelism: int | None = None) -> DataFrame:
-    """Apply a frame function, over a given number of tasks if one is set."""
-    return (df.repartition(parallelism) if parallelism else df).transform(fn)
+    """Apply a frame function; its result comes from at most a given number of tasks if one is set.
+
+    Rows aren't shuffled for it: what the function does ahead of a shuffle of its own, such as partial aggregation, keeps
+    all the input's tasks.
+    """
+    done = df.transform(fn)
+    return done.coalesce(parallelism) if parallelism else done
 
 
 def process_batches(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
@@ -82,6 +87,21 @@ def dynamic_filter(df: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
     return lookup_join(df, keys.select(*on), on, "left_semi")
 
 
+def dynamic_filter_stream(
+    rows: DataFrame, keys: DataFrame, on: list[str], time: str, key_time: str, before: str = "0 seconds", after: str = "0 seconds", delay: str = "0 seconds"
+) -> DataFrame:
+    """The same for two streams: rows of one whose key the other has between ``before`` and ``after`` their own time.
+
+    A row goes out once, as soon as a key meets it, whichever came first. Both sides are kept as state until the watermark
+    (the slower stream's newest time less ``delay``) rules a match out; a row without one is then dropped without a trace, and
+    rows and keys that come later than ``delay`` behind are ignored. Null keys and times meet nothing.
+    """
+    named = keys.select(*[F.col(k).alias(f"_key_{k}") for k in on], F.col(key_time).alias("_key_time")).withWatermark("_key_time", delay)
+    equal = [F.col(k) == F.col(f"_key_{k}") for k in on]
+    near = (F.col("_key_time") >= F.col(time) - F.expr(f"interval {before}")) & (F.col("_key_time") <= F.col(time) + F.expr(f"interval {after}"))
+    return rows.withWatermark(time, delay).join(named, reduce(lambda a, b: a & b, [*equal, near]), "left_semi")
+
+
 def data_quality(df: DataFrame, rules: Mapping[str, Column], by: list[str] | None = None) -> DataFrame:
     """Rows that pass and fail each rule, counted in one pass; null fails."""
     counts = []

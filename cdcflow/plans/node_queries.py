@@ -86,14 +86,12 @@ def _sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return orders, table(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "custkey")
 
 
-@query(
-    "SELECT c_custkey AS key, c_name, s_name FROM customer LEFT JOIN supplier ON c_custkey = s_suppkey"
-)
+@query("SELECT o_orderkey, o_custkey AS key, s_name FROM orders LEFT JOIN supplier ON o_custkey = s_suppkey")
 def join_left(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each customer with the supplier of its number, where there is one."""
-    customers = table(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "key")
+    """Each order with the supplier of its customer's number, where there is one; frequent customers are spread."""
+    orders = table(spark, sf_dir, "orders").withColumnRenamed("o_custkey", "key")
     suppliers = table(spark, sf_dir, "supplier").withColumnRenamed("s_suppkey", "key")
-    return N.equi_join(customers, suppliers, ["key"], "left", salt=2).select("key", "c_name", "s_name")
+    return N.equi_join(orders, suppliers, ["key"], "left", salt=4).select("o_orderkey", "key", "s_name")
 
 
 @query("SELECT c_custkey AS custkey, c_name FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders)")
@@ -123,11 +121,12 @@ def join_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     return N.equi_join(orders, parts, ["k"], "full", salt=4).select("o_orderkey", "p_partkey")
 
 
-@query("SELECT s_suppkey, p_partkey FROM supplier RIGHT JOIN part ON s_suppkey = p_partkey")
+@query("SELECT o_orderkey, p_partkey FROM orders RIGHT JOIN part ON o_custkey = p_partkey")
 def join_right(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each part with the orders of the customer of its number, or alone; frequent customers are spread."""
+    orders = table(spark, sf_dir, "orders").withColumn("k", F.col("o_custkey"))
     parts = table(spark, sf_dir, "part").withColumn("k", F.col("p_partkey"))
-    suppliers = table(spark, sf_dir, "supplier").withColumn("k", F.col("s_suppkey"))
-    return N.equi_join(suppliers, parts, ["k"], "right", salt=2).select("s_suppkey", "p_partkey")
+    return N.equi_join(orders, parts, ["k"], "right", salt=4).select("o_orderkey", "p_partkey")
 
 
 @query(

@@ -9,6 +9,7 @@ from cdcflow import sinks
 from cdcflow.operators import paging
 from cdcflow.operators import progress as P
 from cdcflow.operators.joins import equi_join
+from cdcflow.operators.zones import lay_out, zoned_keyset_page, zoned_offset_page
 from cdcflow.plans.capture import scan, scan_offsets, snapshot_then_log
 from cdcflow.config import CaptureOptions
 from cdcflow.plans.derived import LOG_SQL, change_log
@@ -94,6 +95,31 @@ def offset_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paging.offset_page(orders, "o_orderkey", offset=1300, page_size=100, rows_per_chunk=1_000)
 
 
+def _laid_out(spark: SparkSession, sf_dir: str) -> str:
+    path = shared_dir(spark, "zones")
+    lay_out(_orders(spark, sf_dir), path, [TIME, *KEYS], rows_per_zone=400)
+    return path
+
+
+@query(
+    f"""WITH {ORDERS_SQL}
+SELECT * FROM (
+  SELECT * FROM o WHERE o_updated = TIMESTAMP '1996-03-01' AND o_orderkey > 700
+  UNION ALL SELECT * FROM o WHERE o_updated > TIMESTAMP '1996-03-01'
+  UNION ALL SELECT * FROM o WHERE o_updated IS NULL AND o_orderkey > 1400)
+ORDER BY o_updated ASC NULLS FIRST, o_orderkey LIMIT {PAGE}"""
+)
+def zoned_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page after saved progress, from the few zones that hold it."""
+    return zoned_keyset_page(spark, _laid_out(spark, sf_dir), TIME, KEYS, SAVED, PAGE)
+
+
+@query(f"WITH {ORDERS_SQL} SELECT * FROM o ORDER BY o_updated ASC NULLS FIRST, o_orderkey LIMIT 100 OFFSET 1300")
+def zoned_deep_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page after an offset, from the few zones that hold it."""
+    return zoned_offset_page(spark, _laid_out(spark, sf_dir), [TIME, *KEYS], 1300, 100)
+
+
 SCAN = CaptureOptions("shop", ["orders"], ["o_orderkey", "o_custkey", TIME], ["O_ORDERKEY"], "O_UPDATED")
 
 
@@ -191,28 +217,27 @@ def snapshot_handoff(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""WITH {ORDERS_SQL} SELECT o_orderkey, o_updated FROM o
-WHERE o_updated IS NULL OR epoch_us(o_updated) // 1000 <= 852076800000"""
+    f"""WITH {ORDERS_SQL}
+SELECT o_orderkey, o_updated, 'snapshot' AS origin FROM o WHERE o_updated IS NULL OR epoch_us(o_updated) // 1000 <= 852076800000
+UNION ALL SELECT o_orderkey, o_updated, 'log' FROM o WHERE epoch_us(o_updated) // 1000 >= 852076800000"""
 )
 def hand_over_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A log that has not begun yet adds nothing to the rows up to the hand-over."""
+    """Rows up to the hand-over from the table and later ones from the log; those of the very time come from both."""
     orders = _orders(spark, sf_dir).drop("o_custkey")
-    none_yet = orders.withColumn("event_ts_ms", F.lit(0).cast("bigint"))
-    return P.hand_over(orders, none_yet, TIME, 852_076_800_000)
+    log = orders.withColumns({"origin": F.lit("log"), "event_ts_ms": F.unix_millis(F.col(TIME).cast("timestamp"))})
+    return P.hand_over(orders.withColumn("origin", F.lit("snapshot")), log, TIME, 852_076_800_000)
 
 
 @query(
-    """WITH urgent AS (SELECT * FROM orders WHERE o_orderpriority = '1-URGENT'),
-bounds AS (SELECT min(o_orderkey) AS lo, max(o_orderkey) AS hi FROM urgent)
+    """WITH bounds AS (SELECT min(l_orderkey) AS lo, max(l_orderkey) AS hi FROM lineitem)
 SELECT value FROM (SELECT unnest(range(lo, hi + 1)) AS value FROM bounds)
-WHERE value NOT IN (SELECT o_orderkey FROM urgent)"""
+WHERE value NOT IN (SELECT l_orderkey FROM lineitem)"""
 )
 def sequence_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Numbers of the order sequence that no urgent order uses."""
-    urgent = table(spark, sf_dir, "orders").where("o_orderpriority = '1-URGENT'")
-    low, high = urgent.agg(F.min("o_orderkey"), F.max("o_orderkey")).first()
-    used = urgent.select(F.col("o_orderkey").alias("value"))
-    return equi_join(S.sequence(spark, low, high), used, ["value"], "left_anti")
+    """Numbers of the order sequence without a line."""
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("value"))
+    low, high = lines.agg(F.min("value"), F.max("value")).first()
+    return equi_join(S.sequence(spark, low, high), lines, ["value"], "left_anti")
 
 
 @query(

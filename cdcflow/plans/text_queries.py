@@ -118,15 +118,9 @@ def scalar_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return J.flatten_json(table(spark, sf_dir, "documents"), "text", ["doc_id"])
 
 
-@query(
-    r"""WITH d AS (SELECT doc_id, CASE WHEN lang = 'en' THEN text ELSE ' ' || chr(9) END AS a,
-  CASE WHEN n_chars > 500 THEN source END AS b FROM documents)
-SELECT doc_id FROM d WHERE regexp_matches(coalesce(a, ''), '\S') OR regexp_matches(coalesce(b, ''), '\S')"""
-)
+@query(r"SELECT doc_id FROM documents WHERE regexp_matches(coalesce(text, ''), '\S') OR regexp_matches(coalesce(source, ''), '\S')")
 def non_blank_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    a = F.when(F.col("lang") == "en", F.col("text")).otherwise(F.lit(" \t"))
-    b = F.when(F.col("n_chars") > 500, F.col("source"))
-    return table(spark, sf_dir, "documents").where(has_text(a, b)).select("doc_id")
+    return table(spark, sf_dir, "documents").where(has_text(F.col("text"), F.col("source"))).select("doc_id")
 
 
 @query(

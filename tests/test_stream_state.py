@@ -256,3 +256,43 @@ def test_scan_job_leaves_later_times_to_the_log(spark):
     scan_job(lambda: table, SCAN, path, stop_after_ms=1700000001000)
     want = table.where("at is null or at <= timestamp_ntz '2023-11-14 22:13:21'")
     assert rows(scanned(spark, path).select("id")) == rows(want.select(F.col("id").cast("string")))
+
+
+# -- dynamic filter of two streams --------------------------------------------------------------
+
+
+def timed(spark, *values):
+    at = [(k, None if s is None else START + timedelta(seconds=s), f"{k}{s}") for k, s in values]
+    return spark.createDataFrame(at, "k string, at timestamp_ntz, v string").selectExpr("k", "cast(at as timestamp) at", "v")
+
+
+def filtered(spark, batches, **how):
+    """Rows and keys landed batch after batch, the stream started again for each."""
+    work = shared_dir(spark, "filter")
+    for some, keys in batches:
+        some.write.mode("append").parquet(f"{work}/rows")
+        keys.write.mode("append").parquet(f"{work}/keys")
+        left, right = (stream_changes(spark, f"{work}/{n}", schema=some.schema) for n in ("rows", "keys"))
+        found = N.dynamic_filter_stream(left, right, ["k"], "at", "at", **how)
+        committed(found, Manifest(spark, f"{work}/out"), lambda b, _: {"append": {"rows": b}}, f"{work}/check").awaitTermination()
+    return [r["v"] for r in Manifest(spark, f"{work}/out").read("rows").orderBy("v").collect()]
+
+
+def test_a_filter_of_two_streams_equals_the_batch(spark):
+    draw = random.Random(8)
+    row_values = [(draw.choice("abcdefgh"), s) for s in range(0, 300, 3)]
+    key_values = [(draw.choice("abcdefgh"), s) for s in range(0, 300, 20)] * 2
+    part = lambda xs, lo, hi: timed(spark, *[x for x in xs if lo <= x[1] < hi])
+    got = filtered(spark, [(part(row_values, i, i + 100), part(key_values, i, i + 100)) for i in (0, 100, 200)], before="30 seconds", after="30 seconds", delay="60 seconds")
+    want = [f"{k}{s}" for k, s in row_values if any(k == q and abs(s - t) <= 30 for q, t in key_values)]
+    assert got == sorted(want)
+
+
+def test_late_and_unmatched_rows_of_two_streams(spark):
+    batches = [
+        (timed(spark, ("a", 10), ("b", 20), (None, 5), ("a", None)), timed(spark, ("z", 15), (None, 5))),
+        (timed(spark, ("c", 500)), timed(spark, ("a", 30), ("z", 500))),  # the key comes after its row
+        (timed(spark, ("d", 600), ("b", 21)), timed(spark, ("b", 20), ("d", 600), ("c", 520), ("z", 600))),  # b: row and key too late
+    ]
+    got = filtered(spark, batches, before="40 seconds", after="40 seconds", delay="60 seconds")
+    assert got == ["a10", "c500", "d600"]
