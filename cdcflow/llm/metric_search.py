@@ -10,7 +10,7 @@ Scores are exact whole numbers, and pruning leaves room for rounding, so results
 Trees are written pages. Queries meet them in blocks, and each block returns at most k rows per query and tree.
 
 Nulls and odd rows: vectors that are null or hold null or non-finite components, and rows without an id, take no part; rows
-equal in id and vector count once; a query meets vectors of its own length; other columns are ignored; a query sees no row of
+equal in id and vector count once; a query meets vectors of its own length, an empty one empty ones with score 0; other columns are ignored; a query sees no row of
 its own id; with fewer than k candidates all are returned; an empty frame gives an empty result.
 """
 
@@ -93,7 +93,7 @@ class Tree:
         self.pages = []
         self.most = table["most"][0].as_py()
         for row in table.select(["vectors", "ids", "parent", "radius", "child"]).to_pylist():
-            vectors = np.frombuffer(row["vectors"], "<i8").reshape(-1, dim)
+            vectors = np.frombuffer(row["vectors"], "<i8").reshape(len(row["ids"]), dim)
             ids = np.array(row["ids"], np.int64)
             self.pages.append((vectors, _lifted(vectors, self.most), ids, np.array(row["parent"]), np.array(row["radius"]), np.array(row["child"], np.int64)))
 
@@ -140,7 +140,7 @@ class Tree:
 
 
 def _matrix(column: pa.ChunkedArray, dim: int) -> np.ndarray:
-    return column.combine_chunks().flatten().to_numpy().reshape(-1, dim)
+    return column.combine_chunks().flatten().to_numpy().reshape(len(column), dim)
 
 
 _PAGE_TYPE = "dim int, tree int, page int, most double, ids array<bigint>, vectors binary, parent array<double>, radius array<double>, child array<bigint>"
