@@ -76,8 +76,13 @@ def _mapped(digests: str, strings: str) -> tuple[np.ndarray, mmap.mmap]:
         return np.load(SparkFiles.get(digests), mmap_mode="r"), mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ)
 
 
-def _probes(host: str, path: str, path_lengths: list[int]) -> Iterator[str]:
+def _probes(host: str, path: str, path_lengths: list[int], longest: int) -> Iterator[str]:
+    """The host's suffixes that can be a rule's host, each with the path's beginnings."""
     at = 0
+    if len(host) > longest:
+        at = host.find(".", len(host) - longest - 1) + 1
+        if not at:
+            return
     while True:
         for n in path_lengths:
             if n <= len(path):
@@ -91,13 +96,14 @@ def judge_urls(pages: DataFrame, rules: dict[str, str], id_col: str = "page_id",
     """id, host, path, rule, verdict for each row. A rule is ``host/path``; it fits its host and all subdomains."""
     names = publish_rules(pages.sparkSession, rules)
     lengths = sorted({len(rule) - rule.index("/") for rule in rules})
+    longest = max((rule.index("/") for rule in rules), default=0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, strings = _mapped(*names)
         for batch in batches:
             rows, probes = [], []
             for row, (host, path) in enumerate(zip(batch.column("host").to_pylist(), batch.column("path").to_pylist(), strict=True)):
-                for probe in _probes(host, path, lengths) if host else ():
+                for probe in _probes(host, path, lengths, longest) if host else ():
                     rows.append(row)
                     probes.append(probe.encode())
             found, allow = [None] * batch.num_rows, [None] * batch.num_rows

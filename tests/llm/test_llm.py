@@ -147,6 +147,13 @@ def test_metric_search(spark):
     assert metric_search.top_by_inner_product(df.where("vec_id < 0"), df.where("vec_id < 0")).count() == 0
 
 
+def test_empty_vectors_meet_one_another(spark):
+    df = spark.createDataFrame([(i, []) for i in range(700)] + [(1000, [1.0]), (1001, [2.0])], "vec_id bigint, embedding array<float>")
+    got = values(metric_search.top_by_inner_product(df, df.where("vec_id in (0, 300, 1000)"), tree_rows=200), "query_id", "rank", "id", "score")
+    want = [(q, k + 1, i, 0) for q in (0, 300) for k, i in enumerate([i for i in range(12) if i != q][:10])]
+    assert sorted(got) == sorted([*want, (1000, 1, 1001, 2 * 1024 * 1024)])
+
+
 def test_packing(spark, odd, none):
     from tokenizers import Tokenizer
 
@@ -348,6 +355,18 @@ def test_url_filter(spark):
     assert url_filter.judge_urls(df.where("page_id < 0"), rules).count() == 0
 
 
+def test_only_hosts_no_longer_than_the_longest_rule_are_looked_up(spark):
+    rules = {"net/": "block", "example.net/en/": "allow"}
+    probes = lambda host: [p for p in url_filter._probes(host, "/en/x", [1, 4], len("example.net"))]
+    assert probes("example.net") == ["example.net/", "example.net/en/", "net/", "net/en/"]
+    assert probes("a.example.net") == probes("xx.example.net") == probes("example.net")
+    assert probes("aexample.net") == ["net/", "net/en/"] and probes("a" * 50) == [] and len(probes("." * 1_000_000)) == 24
+    urls = ["x://" + "a." * 500_000 + "example.net/en/", "x://" + "." * 1_000_000 + "net/", "x://" + "b" * 1_000_000 + "net/"]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id int, url string")
+    judged = {r[0]: r[1:] for r in values(url_filter.judge_urls(df, rules), "id", "rule", "verdict")}
+    assert judged == {0: ("example.net/en/", "allow"), 1: ("net/", "block"), 2: (None, "allow")}
+
+
 def test_crc_of_ids(spark):
     pieces = packing.token_pieces(spark.createDataFrame([(1, "a b c")], "doc_id int, text string"), *TOKENS).select("ids", F.crc32("ids").alias("crc"))
     row = pieces.first()
