@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -21,9 +22,25 @@ def small_batches(spark: SparkSession, rows: int = 2_000, most_bytes: str | None
     return spark
 
 
+_scratch: list[str] | None = None
+
+
+@contextmanager
+def scratch(paths: list[str]) -> Iterator[None]:
+    """Have the folders that ``saved`` writes meanwhile added to a list, for who knows when they are done with."""
+    global _scratch
+    outer, _scratch = _scratch, paths
+    try:
+        yield
+    finally:
+        _scratch = outer
+
+
 def saved(df: DataFrame, name: str, *folders: str) -> DataFrame:
     """Write a frame to the cluster's shared folder, in folders by some columns, and read it back: no executor that goes can take it along."""
     path = shared_dir(df.sparkSession, name)
+    if _scratch is not None:
+        _scratch.append(path)
     df.write.partitionBy(*folders).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
