@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cdcflow.llm.frames import saved, small_batches
+from cdcflow import files
+from cdcflow.llm.frames import saved, scratch, small_batches
 from cdcflow.llm.line_dedup import remove_repeats
 from cdcflow.llm.mixing import in_shards, mix, mixed_rows
 from cdcflow.llm.ngram_join import keep_one_of_each
@@ -19,42 +23,63 @@ LEAST_SCORE = 0.3
 ORACLE_SQL = None
 
 
+_tables_before: list[str] = []
+
+
+def stage(fn: Callable) -> Callable:
+    """A stage, with small Arrow batches. What the stage before it saved on its way is removed, as its result is written by now.
+
+    The first stage removes nothing, and what the last one saved stays, as its result may not be read yet.
+    """
+
+    @functools.wraps(fn)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        done = [] if fn.__name__ == STAGES[0][1].__name__ else _tables_before[:]
+        _tables_before.clear()
+        for path in done:
+            files.remove(spark, path)
+        with scratch(_tables_before):
+            return fn(small_batches(spark, most_bytes="2m"), docs, sf_dir)
+
+    return run
+
+
 def _with_text(rows: DataFrame, text: Column) -> DataFrame:
     """The struct ``row`` as columns, with another text and its length."""
     new = {"text": text, "n_chars": F.coalesce(F.char_length(text), F.lit(0)).cast("bigint")}
     return rows.select(*[new.get(name, F.col(f"row.`{name}`")).alias(name) for name in rows.schema["row"].dataType.names])
 
 
+@stage
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality network, trained on the labels outside the held-out fold, doesn't reject."""
-    small_batches(spark, most_bytes="2m")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = train(docs, labels.where(~held_out(F.col("doc_id"))))
     return score(docs, model).where(F.col("score") >= LEAST_SCORE).select("row.*")
 
 
+@stage
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of texts linked by 0.8 similarity of five-word shingles."""
-    small_batches(spark, most_bytes="2m")
     return keep_one_of_each(docs)
 
 
+@stage
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that an earlier document has."""
-    small_batches(spark, most_bytes="2m")
     return _with_text(remove_repeats(docs), F.col("kept"))
 
 
+@stage
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The rows that the mix takes, a row for each time, written by shard in the order of their keys."""
-    small_batches(spark, most_bytes="2m")
     rows = saved(in_shards(mixed_rows(mix(docs))).select("row"), "mixed")
     return _with_text(rows, F.col("row.text"))
 
 
+@stage
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces with their sequence and offset."""
-    small_batches(spark, most_bytes="2m")
     pieces = token_pieces(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, SPECIAL_TOKENS)
     return pack(saved(pieces.withColumnRenamed("id", "doc_id"), "pieces"))
 
