@@ -20,10 +20,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cdcflow.llm.frames import pick, tidy
+from cdcflow.llm.frames import pick, saved, tidy
 
 WINDOW = 1024
 PIECE_ROWS_PER_GROUP = 100_000
@@ -105,63 +106,73 @@ def token_pieces(
 ) -> DataFrame:
     """id, start, length, ids, doc_tokens: each document's token ids and an end id, cut into full windows and a rest.
 
-    ``ids`` holds little-endian unsigned 32-bit numbers. ``ranks_path`` is a vocabulary file that every machine has.
+    ``ids`` holds little-endian unsigned 32-bit numbers. ``ranks_path`` is a vocabulary file that every machine has. Two more
+    columns number the pieces for ``pack``: ``part``, the task that cuts them, and ``nth``, from 0 among those of a length there.
     """
     marks, end = tuple(special.items()), np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoding = _encoding(ranks_path, pattern, marks)
+        encoding, part, seen = _encoding(ranks_path, pattern, marks), TaskContext.get().partitionId(), [0] * (window + 1)
         for batch in batches:
             texts, row = batch.column("text"), 0
             while row < len(texts):
-                rows, starts, lengths, ids, totals, size = [], [], [], [], [], 0
+                rows, starts, lengths, ids, totals, nths, size = [], [], [], [], [], [], 0
                 while row < len(texts) and size < STEP_BYTES:
                     raw = encoding.encode_to_numpy(texts[row].as_py() or "", allowed_special="all").astype("<u4").tobytes() + end
                     n = len(raw) // 4
                     for start in range(0, n, window):
                         rows.append(row)
                         starts.append(start)
-                        lengths.append(min(window, n - start))
+                        lengths.append(length := min(window, n - start))
+                        nths.append(seen[length])
+                        seen[length] += 1
                         ids.append(raw[4 * start : 4 * (start + window)])
                         totals.append(n)
                     row, size = row + 1, size + len(raw)
+                numbers = [pa.array(values, pa.int64()) for values in (starts, lengths, totals, nths)]
+                start, length, total, nth = numbers
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("id").take(pa.array(rows, pa.int64())), pa.array(starts, pa.int64()), pa.array(lengths, pa.int64()), pa.array(ids, pa.binary()), pa.array(totals, pa.int64())],
-                    ["id", "start", "length", "ids", "doc_tokens"],
+                    [batch.column("id").take(pa.array(rows, pa.int64())), start, length, pa.array(ids, pa.binary()), total, pa.array([part] * len(rows), pa.int32()), nth],
+                    ["id", "start", "length", "ids", "doc_tokens", "part", "nth"],
                 )
 
     base = pick(docs, id=id_col, text=text_col)
     id_type = base.schema["id"].dataType.simpleString()
-    return base.mapInArrow(tidy(run), f"id {id_type}, start bigint, length bigint, ids binary, doc_tokens bigint")
+    return base.mapInArrow(tidy(run), f"id {id_type}, start bigint, length bigint, ids binary, doc_tokens bigint, part int, nth bigint")
 
 
 def _numbered(pieces: DataFrame, group_rows: int) -> tuple[DataFrame, dict[int, int]]:
     """Pieces with ``ordinal``, from 0 among those of their length, and the counts by length.
 
-    A length that very many pieces share is numbered in groups, each after the groups before it.
+    Pieces are numbered within groups, each group's numbers following those of the groups before it. Where ``token_pieces`` has
+    numbered them within its tasks, those are the groups and no piece is moved; others are dealt into groups by hash.
     """
-    groups = max(1, math.ceil(pieces.count() / group_rows))
-    placed = pieces.withColumn("grp", F.pmod(F.xxhash64(*pieces.columns), F.lit(groups)))
+    if {"part", "nth"} <= set(pieces.columns):
+        placed = pieces.withColumnsRenamed({"part": "grp", "nth": "within"})
+    else:
+        groups = max(1, math.ceil(pieces.count() / group_rows))
+        within = Window.partitionBy("length", "grp").orderBy(*[c for c in pieces.columns if c != "length"])
+        placed = pieces.withColumn("grp", F.pmod(F.xxhash64(*pieces.columns), F.lit(groups))).withColumn("within", F.row_number().over(within) - 1)
     sizes = placed.groupBy("length", "grp").agg(F.count("*").alias("n"))
     before = Window.partitionBy("length").orderBy("grp").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = sizes.select("length", "grp", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"), "n")
-    within = Window.partitionBy("length", "grp").orderBy(*[c for c in pieces.columns if c != "length"])
-    numbered = placed.withColumn("within", F.row_number().over(within) - 1).join(sizes.drop("n"), ["length", "grp"])
-    histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}  # a row for each length up to the window
+    sizes = saved(sizes.select("length", "grp", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"), "n"), "groups")
+    histogram = {r["length"]: r["n"] for r in sizes.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # a row for each length up to the window
+    numbered = placed.join(sizes.drop("n"), ["length", "grp"])  # the smaller side by far: a row for each group and length
     return numbered.withColumn("ordinal", F.col("before") + F.col("within")), histogram
 
 
 def pack(pieces: DataFrame, window: int = WINDOW, group_rows: int = PIECE_ROWS_PER_GROUP) -> DataFrame:
     """Give pieces (column ``length``, 1 to ``window``, and others that can be ordered) a sequence_id and an offset.
 
-    Reads ``pieces`` more than once: give a saved frame.
+    Reads ``pieces`` more than once: give a saved frame. The numbers that ``token_pieces`` gives are dropped.
     """
     numbered, histogram = _numbered(pieces, group_rows)
     steps = best_fit_decreasing(histogram, window)
     keys = (steps[:, 0] << _ORDINAL_BITS) | steps[:, 1]
     order = np.argsort(keys)
     keys, steps = keys[order], steps[order]
-    names = pieces.columns
+    kept = pieces.drop("part", "nth")
+    names = kept.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -173,5 +184,5 @@ def pack(pieces: DataFrame, window: int = WINDOW, group_rows: int = PIECE_ROWS_P
             sequence, at = opened + here // each, offset + here % each * length
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], pa.array(sequence), pa.array(at)], [*names, "sequence_id", "offset"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
-    return numbered.select(*pieces.columns, "ordinal").mapInArrow(tidy(run), f"{schema}, sequence_id bigint, offset bigint")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
+    return numbered.select(*names, "ordinal").mapInArrow(tidy(run), f"{schema}, sequence_id bigint, offset bigint")

@@ -98,7 +98,7 @@ def op3_ngram_join(spark, sf_dir):
 def op5_packing(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     pieces = token_pieces(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, SPECIAL_TOKENS)
-    narrow = saved(pieces.select(F.col("id").alias("doc_id"), "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens"), "pieces")
+    narrow = saved(pieces.select(F.col("id").alias("doc_id"), "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "part", "nth"), "pieces")
     return pack(narrow)
 
 
