@@ -5,8 +5,9 @@ position of the least hash among its ``gram``-byte substrings, which depends on
 equal substrings at equally placed anchors, so only suffixes that start at anchors need comparing, and only where an anchor's
 substring occurs at another anchor too. An anchor serves a run of neighbouring windows; its context is the bytes they cover.
 
-Anchors with equal contexts (copies) are settled by their digests, counted before the shuffle. Of the others, each different
-context goes once to the group of its substring. There the suffixes from the anchors, and the reversed texts before them, are
+Anchors with equal contexts (copies) are settled by their digests, counted before the shuffle; those of the most frequent
+contexts are dealt evenly, so that no task gets all copies of a text. Each different context goes once to the group of its
+substring. There the suffixes from the anchors, and the reversed texts before them, are
 put in order by deep-shallow sorting; from the common lengths of neighbours follow, for each two anchors, how far they agree
 to the right and left, and so which bytes both share over at least ``length``. Groups beyond ``group_anchors`` are not sorted
 together: their windows are counted by digest instead, which is exact as well (up to 64-bit collisions) and needs no group in
@@ -32,6 +33,8 @@ from cdcflow.llm.frames import complete_groups, pick, saved, text_key, tidy
 
 LENGTH, GRAM = 400, 32
 GROUP_ANCHORS = 2_000
+#: Anchors of so many of the most frequent contexts are marked by broadcast. Any other context has less than one anchor in so many.
+HOT_CONTEXTS = 1_000
 SEGMENT = 1 << 19
 _POSITION_BITS = 24
 
@@ -207,7 +210,13 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def remove_repeated_strings(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, group_anchors: int = GROUP_ANCHORS
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    length: int = LENGTH,
+    gram: int = GRAM,
+    group_anchors: int = GROUP_ANCHORS,
+    hot_contexts: int = HOT_CONTEXTS,
 ) -> DataFrame:
     """row (the input row), kept (its remaining bytes), removed (array of start, end in bytes, maximal runs) for each row."""
     base = pick(docs, id=id_col, text=text_col)
@@ -216,14 +225,19 @@ def remove_repeated_strings(
     anchors = saved(
         texts.where(F.octet_length("text") >= length).mapInArrow(tidy(_anchors(length, gram)), "key bigint, gram bigint, context bigint, at bigint, lo bigint, hi bigint"), "anchors"
     )
-    contexts = anchors.groupBy("gram", "context").agg(F.count("*").alias("n"))
+    # One row for each different context, with one of its anchors: equal contexts are equal from their first byte to their last.
+    one = [F.first(c).alias(c) for c in ("key", "at", "lo", "hi")]
+    contexts = anchors.groupBy("gram", "context").agg(F.count("*").alias("n"), *one)
     grams = contexts.groupBy("gram").agg(F.count("*").alias("contexts"), F.sum("n").alias("total")).where("total > 1").select("gram", "contexts")
-    known = saved(anchors.join(grams, "gram").join(contexts, ["gram", "context"]), "met")
-    settled = known.where("n > 1").select("key", F.col("lo").alias("start"), (F.col("hi") + length).alias("end"))
-    one = known.where("contexts > 1").groupBy("gram", "context").agg(F.min("key").alias("first"))
-    asked = known.where("contexts > 1").join(one, ["gram", "context"]).where(F.col("key") == F.col("first"))
-    # A document that repeats within itself may hold a context twice: one of them speaks for it.
-    asked = asked.groupBy("gram", "context", "key").agg(F.min("at").alias("at"), F.min("lo").alias("lo"), F.min("hi").alias("hi"), F.max("contexts").alias("contexts"))
+    met = saved(contexts.join(grams, "gram"), "met")
+    copies = met.where("n > 1").select("gram", "context", "n")
+    hot = copies.orderBy(F.desc("n"), "gram", "context").limit(hot_contexts).select("gram", "context", F.lit(True).alias("hot"))
+    # An anchor of a hot context is a copy whatever it meets, so these are dealt by themselves and not by their context.
+    dealt = anchors.join(F.broadcast(hot), ["gram", "context"], "left")
+    dealt = dealt.select("key", "lo", "hi", "gram", "hot", F.when(F.col("hot"), F.xxhash64("key", "at")).otherwise(F.col("context")).alias("by"))
+    known = dealt.join(copies.select("gram", F.col("context").alias("by"), F.lit(True).alias("copy")), ["gram", "by"], "left")
+    settled = known.where(F.col("hot") | F.col("copy")).select("key", F.col("lo").alias("start"), (F.col("hi") + length).alias("end"))
+    asked = met.where("contexts > 1")
     wanted = asked.groupBy("key").agg(
         F.collect_list(F.struct("gram", "at", "lo", "hi", (F.col("contexts") > group_anchors).alias("crowded"))).alias("wanted")  # of one document
     )

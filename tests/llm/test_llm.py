@@ -318,14 +318,14 @@ def repeated(texts, n):
         yield kept + t[at:], spans
 
 
-@pytest.mark.parametrize("group", [2000, 1])
-def test_suffix_dedup(spark, odd, none, group):
+@pytest.mark.parametrize("group, hot", [(2000, 1000), (1, 1000), (2000, 1)])
+def test_suffix_dedup(spark, odd, none, group, hot):
     draw = np.random.default_rng(8)
     pick = lambda n: bytes(draw.integers(97, 100, n).astype(np.uint8)).decode()
     a, b = pick(90), pick(70)
     texts = [a + pick(50), pick(30) + a, b + b, pick(20) + a[10:80] + pick(9), "x" * 200, pick(300), "", None, pick(39), a + b, a + b]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
-    got = {r[0]: (bytes(r[1]), [(s["start"], s["end"]) for s in r[2]]) for r in values(suffix_dedup.remove_repeated_strings(df, length=40, gram=8, group_anchors=group), "row.doc_id", "kept", "removed")}
+    got = {r[0]: (bytes(r[1]), [(s["start"], s["end"]) for s in r[2]]) for r in values(suffix_dedup.remove_repeated_strings(df, length=40, gram=8, group_anchors=group, hot_contexts=hot), "row.doc_id", "kept", "removed")}
     assert got == dict(enumerate(repeated([(t or "").encode() for t in texts], 40)))
     done = values(suffix_dedup.remove_repeated_strings(odd), "row.text", "kept")
     assert collections.Counter(bytes(k) for _, k in done) == collections.Counter(k for k, _ in repeated([(r[0] or "").encode() for r in values(odd, "text")], 400))
