@@ -12,7 +12,8 @@ removed. In scripts without spaces between words each character is a word, of wh
 Removed spans keep their byte offsets in the original text; those with only white space between them are one span.
 
 Only digests and counts of all units are shuffled first; units whose digest occurs once go no further. Counts are taken before
-the shuffle. The most frequent units, a fixed number of them, are joined by broadcast, so no task gets all rows of one.
+the shuffle. The most frequent units, a fixed number of them, are marked by broadcast, so no task gets all rows of one; their
+originals, one row for each, are taken out of the documents' sets of spans. A span travels as one number.
 
 Nulls and odd rows: a null text is empty and stays null; null ids rank last; rows equal in id and text count as one document;
 an empty frame gives an empty result; other columns stay in the struct ``row``, so names can't clash.
@@ -143,10 +144,10 @@ def _units(min_words: int):
     return run
 
 
-def joined_spans(spans: list[dict], raw: bytes) -> list[tuple[int, int]]:
-    """Byte spans in order, as one where they overlap or have only white space between them."""
+def joined_spans(places: list[int], raw: bytes) -> list[tuple[int, int]]:
+    """The byte spans of places in order, as one where they overlap or have only white space between them."""
     joined: list[tuple[int, int]] = []
-    for start, end in sorted((s["start"], s["end"]) for s in spans):
+    for start, end in sorted((p >> 32, (p & 0xFFFFFFFF) >> 1) for p in places):
         if joined and (start <= joined[-1][1] or not raw[joined[-1][1] : start].strip()):
             joined[-1] = (joined[-1][0], max(joined[-1][1], end))
         else:
@@ -197,13 +198,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     # The rows lie by ``by`` already, so the owners are found without another shuffle; those of hot units come after it.
     owner = _owner().over(Window.partitionBy("by", "h1", "h2"))["key"]
     shared = saved(shared.withColumn("owner", owner).where(_inner() | F.col("hot") | (F.col("key") != F.col("owner"))).drop("by", "common"), "units")
-    hot_rows = shared.where("hot").drop("owner")
-    owners = hot_rows.where(~_inner()).groupBy("h1", "h2").agg(_owner().alias("first")).select("h1", "h2", F.col("first.key").alias("owner"))
-    hot_repeats = hot_rows.join(F.broadcast(owners), ["h1", "h2"], "left").where(_inner() | (F.col("key") != F.col("owner")))
-    start, end = F.shiftright("place", 32), F.shiftright(F.col("place").bitwiseAND(F.lit(0xFFFFFFFF)), 1)
-    repeats = shared.where("hot is null").select("key", "place").unionByName(hot_repeats.select("key", "place"))
-    repeats = repeats.select("key", F.struct(start.alias("start"), end.alias("end")).alias("span"))
-    by_doc = repeats.groupBy("key").agg(F.collect_set("span").alias("units"))  # of one document
+    spans = shared.select("key", "h1", "h2", "hot", _inner().alias("inner"), F.col("place").bitwiseAND(F.lit(-2)).alias("span"))
+    # All rows of hot units but their owners' are repeats as well: these few, one for each unit, are given back to their documents.
+    first = shared.where(F.col("hot") & ~_inner()).groupBy("h1", "h2").agg(_owner().alias("first")).select("h1", "h2", F.col("first.key").alias("key"))
+    own = spans.where(F.col("hot") & ~F.col("inner")).join(F.broadcast(first), ["h1", "h2", "key"]).groupBy("key").agg(F.collect_set("span").alias("own"))
+    by_doc = spans.groupBy("key").agg(F.collect_set("span").alias("units")).join(F.broadcast(own), "key", "left")  # of one document
+    by_doc = by_doc.select("key", F.when(F.col("own").isNull(), F.col("units")).otherwise(F.array_except("units", "own")).alias("units"))
     rows = docs.select(F.struct("*").alias("row"), F.xxhash64(docs[id_col], text_key(docs[text_col])).alias("key"))
     joined = rows.join(by_doc, "key", "left").select("row", F.col(f"row.`{text_col}`").alias("text"), "units")  # the text is shuffled once
     row_type = joined.schema["row"].dataType.simpleString()
