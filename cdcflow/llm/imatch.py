@@ -10,7 +10,7 @@ The band's upper end keeps terms in at least ``least_share`` of the documents, s
 of a document) / ``least_share`` terms, however many documents there are; that bound allows tasks to carry it.
 
 Nulls and odd rows: a null text is empty, and empty texts share the fingerprint of nothing (likeness 1); null ids come last in
-descending order; ids may repeat; rows with equal ids are ordered by text; other columns are ignored; an empty frame gives an
+descending order; ids may repeat; rows with equal ids are ordered by their texts' hashes, then texts; other columns are ignored; an empty frame gives an
 empty result; one document alone is its own next.
 """
 
@@ -18,11 +18,12 @@ from __future__ import annotations
 
 import hashlib
 import math
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cdcflow.llm.arrays import mix, steps, words
@@ -157,6 +158,27 @@ def _sorted_run(lexicon: np.ndarray):
     return run
 
 
+def _places(cuts: list, splits: int) -> list[tuple]:
+    """Where ranges begin, in descending order of ids, each as an id and a least text hash; null ids come last, in ``splits`` ranges.
+
+    An id that fills several ranges is a cut several times, and its rows are dealt to them by their texts' hashes.
+    """
+    times = Counter(cuts) | Counter({None: max(1, splits)})
+    return [(cut, -(1 << 63) + (k << 64) // n) for cut, n in times.items() for k in range(n)]
+
+
+def _part(places: list[tuple]) -> Column:
+    """The number of ranges that begin at or before a row's id and text hash ``h``."""
+    known = [(cut, h) for cut, h in places if cut is not None]
+    nulls = [h for cut, h in places if cut is None]
+    before = F.lit(0)
+    if known:
+        begins = F.array(*[F.struct(F.lit(cut).alias("id"), F.lit(h).cast("bigint").alias("h")) for cut, h in known])
+        before = F.size(F.filter(begins, lambda b: (b["id"] > F.col("id")) | (b["id"] == F.col("id")) & (b["h"] <= F.col("h"))))
+    among = F.size(F.filter(F.array(*[F.lit(h).cast("bigint") for h in nulls]), lambda h: h <= F.col("h")))
+    return F.when(F.col("id").isNull(), len(known) + among).otherwise(before).cast("int")
+
+
 def fingerprint_edits(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -169,21 +191,21 @@ def fingerprint_edits(
     """Fingerprints of each text and of its edit with the next document's beginning, and how alike they are.
 
     The next document is that of the next lower id (ids are numbers); after the last comes the first. Ranges of ids are cut at
-    percentiles and sorted apart; each also gets the document that follows it, so texts are shuffled once.
+    percentiles, and within an id that many rows share, or null, by the hash of the text; only rows equal in id and text must
+    stay together. Ranges are sorted apart; each also gets the document that follows it, so texts are shuffled once.
     """
     base = pick(docs, id=id_col, text=text_col)
     kept = lexicon(base.select("text"), most_share, least_share, least_documents)
     total = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     ranges = max(1, math.ceil(total / range_bytes))
     shares = [i / ranges for i in range(1, ranges)]
-    cuts = (base.agg(F.percentile_approx("id", shares, 10_000)).first()[0] or []) if shares else []
-    cuts = sorted(set(cuts), reverse=True)
-    # Range 0 has the greatest ids; null ids have the last.
-    at = F.when(F.col("id").isNull(), F.lit(len(cuts) + 1)).otherwise(F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c >= F.col("id"))) if cuts else F.lit(0))
-    placed = base.select(at.cast("int").alias("part"), "id", "text", F.xxhash64("text").alias("h"))
-    # One row for each range from here to the union.
-    top = saved(placed.groupBy("part").agg(F.max("id").alias("id")), "tops")
-    tied = placed.join(F.broadcast(top.select(F.col("part").alias("of"), F.col("id").alias("top"))), (F.col("part") == F.col("of")) & same(F.col("id"), F.col("top")))
+    cuts, no_id = base.agg(F.percentile_approx("id", shares or 0.5, 10_000), F.sum(F.when(F.col("id").isNull(), F.octet_length("text")))).first()
+    places = _places(sorted(cuts or [], reverse=True) if shares else [], math.ceil((no_id or 0) / range_bytes))
+    placed = base.select("id", "text", F.xxhash64("text").alias("h")).select(_part(places).alias("part"), "id", "text", "h")
+    # One row for each range from here to the union. The first in a range has the greatest id and then the least hash.
+    top = placed.groupBy("part").agg(F.max(F.struct("id", F.bitwise_not("h").alias("not_h"))).alias("top"))
+    top = saved(top.select(F.col("part").alias("of"), F.col("top.id").alias("top"), F.bitwise_not("top.not_h").alias("top_h")), "tops")
+    tied = placed.join(F.broadcast(top), (F.col("part") == F.col("of")) & same(F.col("id"), F.col("top")) & (F.col("h") == F.col("top_h")))
     first = tied.groupBy("part", "id").agg(F.min(F.struct("h", F.coalesce("text", F.lit("")).alias("text"))).alias("first"))
     by_part = Window.orderBy("part")
     everything = by_part.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -193,7 +215,7 @@ def fingerprint_edits(
     sorted_ranges = (
         placed.withColumn("follower", F.lit(False))
         .unionByName(follows)
-        .repartitionById(len(cuts) + 2, "part")
+        .repartitionById(len(places) + 1, "part")
         .sortWithinPartitions("part", "follower", F.col("id").desc_nulls_last(), "h", "text")
     )
     id_type = base.schema["id"].dataType.simpleString()

@@ -308,6 +308,22 @@ def test_imatch(odd, none):
     assert imatch.fingerprint_edits(none).count() == 0
 
 
+def test_imatch_splits_an_id_of_many_rows_and_null_ids(spark):
+    docs = [(7 if k % 3 == 0 else None if k % 3 == 1 else k, f"t{k} " * 60) for k in range(300)] + [(7, "same " * 60)] * 5
+    df = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(4)
+    hashed = values(df.select("doc_id", "text", F.xxhash64("text").alias("h")), "doc_id", "text", "h")
+    hashed.sort(key=lambda r: (r[0] is None, -(r[0] or 0), r[2]))
+    want = []
+    for k, (doc_id, text, _) in enumerate(hashed):
+        half = len(text) // 2
+        edit = text[: len(text) - half] + hashed[(k + 1) % len(hashed)][1][:half]
+        want.append((doc_id, len(text), hashlib.sha256(edit.encode()).hexdigest()))
+    done = imatch.fingerprint_edits(df, range_bytes=3_000)
+    assert sorted(map(repr, values(done, "doc_id", "n_chars", "edited_sha256"))) == sorted(map(repr, want))
+    per_task = [n for (n,) in values(done.groupBy(F.spark_partition_id()).count(), "count")]
+    assert max(per_task) <= 40
+
+
 def repeated(texts, n):
     count = collections.Counter(t[i : i + n] for t in texts for i in range(len(t) - n + 1))
     for t in texts:
