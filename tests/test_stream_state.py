@@ -258,6 +258,31 @@ def test_scan_job_leaves_later_times_to_the_log(spark):
     assert rows(scanned(spark, path).select("id")) == rows(want.select(F.col("id").cast("string")))
 
 
+def test_scan_job_looks_at_the_table_once_for_many_pages(spark, monkeypatch):
+    """Pages over several zones, ended by equal rows, in the number of commits that doubling takes."""
+    import cdcflow.streaming.scan as scan
+
+    monkeypatch.setattr(scan, "ROWS_PER_ZONE", 150)
+    draw, path, looks = random.Random(4), shared_dir(spark, "many"), [0]
+    places = [(draw.choice([None, *range(40)]), draw.randrange(20)) for _ in range(900)]
+    made = [(key, None if t is None else datetime(2024, 1, 1) + timedelta(seconds=t), f"v{i}") for i, (t, key) in enumerate(places)]
+    table = spark.createDataFrame(made, "id bigint, at timestamp_ntz, v string")
+
+    def read():
+        looks[0] += 1
+        return table
+
+    scan_job(read, SCAN, path)
+    assert looks[0] <= 4
+    want, page, size, last = {}, 0, 0, None
+    for t, key, v in sorted(((t is not None, t or 0), key, f"v{i}") for i, (t, key) in enumerate(places)):
+        if size >= 7 and (t, key) != last:
+            page, size = page + 1, 0
+        want[v], size, last = page, size + 1, (t, key)
+    assert {r["v"]: r["page"] for r in scanned(spark, path).collect()} == want
+    assert page > 60 and len(Manifest(spark, path).newest()["tables"]["rows"]["parts"]) < 15
+
+
 # -- dynamic filter of two streams --------------------------------------------------------------
 
 
