@@ -53,6 +53,24 @@ def test_a_frequent_word_is_shuffled_as_few_rows(spark):
     assert grouped.selectExpr("sum(size(lines))").first()[0] == 2_000
 
 
+def test_rare_words_share_states(spark, monkeypatch):
+    """Far fewer states than words, and totals that go on over micro-batches."""
+    monkeypatch.setattr(running, "_BUCKETS", 4)
+    lines = [(i, f"w{i} w{i % 90} the w{i} x{i // 2}") for i in range(180)]
+    frame = lambda some: spark.createDataFrame(some, "id bigint, text string").repartition(3)
+    jobs_seen, manifests = [], []
+
+    def start(stream, path, checkpoint):
+        manifests.append(Manifest(spark, path))
+        jobs_seen.append(committed(running.running_words(stream, "text", "id"), manifests[-1], lambda b, _: {"append": {"rows": b}}, checkpoint))
+        return jobs_seen[-1]
+
+    run_parts(spark, [frame(lines[:70]), frame(lines[70:])], start, "rare")
+    want = running_word_count(frame(lines), "text", "id").select("id", "pos", "word", "n")
+    assert rows(manifests[-1].read("rows").select("id", "pos", "word", "n")) == rows(want)
+    assert jobs_seen[-1].lastProgress["stateOperators"][0]["numRowsTotal"] <= 4
+
+
 # -- names of row events ------------------------------------------------------------------------
 
 
