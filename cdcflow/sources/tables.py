@@ -14,10 +14,16 @@ from cdcflow.schema import resolve_columns
 _TABLE_TOKEN = re.compile(r"\$\{(.*?)\}")
 
 
+# Bytes of files, as Spark estimates a scan, for a task of costly work per row.
+SPREAD_BYTES = 1 << 20
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Repartition a scan that has fewer tasks than the cluster has cores; others stay as they are."""
+    """Repartition a scan that has fewer tasks than the cluster has cores, or than its bytes call for; others stay as they are."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    tasks = max(cores, -(-size // SPREAD_BYTES))
+    return df.repartition(tasks) if df.rdd.getNumPartitions() < tasks else df
 
 
 def jdbc_options(options: CaptureOptions, table: str | None = None, query: str | None = None) -> dict[str, str]:

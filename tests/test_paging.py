@@ -2,7 +2,7 @@ import datetime as dt
 import random
 
 import pytest
-from helpers import plan
+from helpers import plan, rows
 from pyspark.sql import functions as F
 
 from cdcflow.config import CaptureOptions
@@ -116,3 +116,13 @@ def test_spread(spark):
     assert T.spread(spark.range(0, 10, 1, 1)).rdd.getNumPartitions() == 8
     wide = spark.range(0, 100, 1, 20)
     assert T.spread(wide) is wide
+
+
+def test_spread_grows_with_the_bytes(spark, tmp_path, monkeypatch):
+    """A task's share of costly rows doesn't grow with the table."""
+    spark.range(0, 200_000, 1, 9).selectExpr("id", "sha2(cast(id as string), 256) v").write.parquet(f"{tmp_path}/t")
+    table = spark.read.parquet(f"{tmp_path}/t")
+    size = sum(f.stat().st_size for f in (tmp_path / "t").glob("*.parquet"))
+    monkeypatch.setattr(T, "SPREAD_BYTES", size // 40)
+    assert table.rdd.getNumPartitions() < 40 <= T.spread(table).rdd.getNumPartitions() <= 42
+    assert rows(T.spread(table).selectExpr("count(*)", "sum(id)")) == [(200_000, 199_999 * 100_000)]
