@@ -79,3 +79,14 @@ def test_deep_pages_by_key_alone_and_of_nothing(spark):
     Z.lay_out(spark.range(0).withColumn("at", F.lit(None).cast("timestamp")), empty, ["at", "id"], 100)
     assert Z.zoned_keyset_page(spark, empty, "at", ["id"], None, 5).count() == 0
     assert Z.zoned_offset_page(spark, empty, ["at", "id"], 0, 5).count() == 0
+
+
+def test_small_zones_share_folders(spark):
+    """Neither files nor shuffle partitions grow with the number of zones; equal rows may lie in several zones."""
+    df = spark.range(3_000).selectExpr("id div 30 k", "id")
+    path = shared_dir(spark, "small")
+    Z.lay_out(df, path, ["k"], rows_per_zone=4)
+    assert Z.zone_map(spark, path).count() == 750
+    assert len({f.rsplit("/", 2)[1] for f in spark.read.parquet(f"{path}/rows").inputFiles()}) == 1
+    page = Z.zoned_offset_page(spark, path, ["k"], 1_490, 40)
+    assert sorted(r["k"] for r in page.collect()) == [49] * 10 + [50] * 30
