@@ -21,10 +21,16 @@ _FROM_EARLIER = "_from_earlier"
 
 
 def running_sum(
-    df: DataFrame, keys: list[str], chunks: list[str], order: list[str], value: Column, out: str
+    df: DataFrame,
+    keys: list[str],
+    chunks: list[str],
+    order: list[str],
+    value: Column,
+    out: str,
+    inclusive: bool = True,
 ) -> DataFrame:
-    """Sum of ``value`` over the key's rows up to and including this one. Keys must not be null."""
-    return _running(df, keys, chunks, order, value, out, _SUM, inclusive=True)
+    """Sum of ``value`` over the key's rows up to this one (or before it). Keys must not be null."""
+    return _running(df, keys, chunks, order, value, out, _SUM, inclusive)
 
 
 def last_value(

@@ -1,14 +1,17 @@
+import random
 import shutil
 
 import pytest
-from helpers import rows
+from helpers import plan, rows
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from test_changelog import event, log
 
 from cdcflow.config import CaptureOptions
 from cdcflow.operators import changelog as C
 from cdcflow.operators import progress as P
-from cdcflow.operators.text import running_word_count, word_count
+from cdcflow.operators import text
+from cdcflow.operators.text import running_word_count, word_count, word_rows
 from cdcflow.plans.capture import capture, capture_stream, read_captured
 from cdcflow.session import shared_dir
 from cdcflow.sources.changes import stream_changes, stream_lines
@@ -126,3 +129,25 @@ def test_shared_dir(spark, monkeypatch):
     del settings["spark.checkpoint.dir"]
     with pytest.raises(ValueError, match="shared by the cluster"):
         shared_dir(spark, "x")
+
+
+def test_running_word_count_shuffles_lines_and_chunk_words(spark, monkeypatch):
+    """No row is shuffled for each word; slices, shared ids, odd texts and ids far apart give what a window gives."""
+    monkeypatch.setattr(text, "_AT_ONCE", 40)
+    draw = random.Random(4)
+    some = ["", None, "  a b", "b", "ÉAKé k_9 İx", "a,b;a", "z " * 30, "-", "日本 a 日本"]
+    lines = [(draw.choice([i, i // 4, -i, i * 10**6]), draw.choice(some)) for i in range(300)]
+    df = spark.createDataFrame(lines, "id bigint, text string").repartition(3)
+    tokens = word_rows(df, "text", ["id"])
+    before = Window.partitionBy("word").orderBy("id", "pos").rowsBetween(Window.unboundedPreceding, 0)
+    want = tokens.withColumn("n", F.count("*").over(before))
+    got = running_word_count(df, "text", "id", lines_per_chunk=10)
+    assert rows(got, "id", "pos", "word", "n") == rows(want, "id", "pos", "word", "n")
+    assert "Window [count" not in plan(got) and "posexplode" not in plan(got)
+
+
+def test_running_word_count_needs_ids(spark):
+    lines = spark.createDataFrame([(1, "a b"), (None, " - "), (None, None)], "id bigint, text string")
+    assert rows(running_word_count(lines, "text", "id"), "word", "n") == [("a", 1), ("b", 1)]
+    with pytest.raises(Exception, match="null in"):
+        running_word_count(lines.union(spark.createDataFrame([(None, "c")], lines.schema)), "text", "id").collect()
