@@ -13,9 +13,15 @@ def big_endian(n: Column, size: int) -> Column:
     return F.substring(F.unhex(F.lpad(F.hex(n.cast("bigint")), 16, "0")), 9 - size, size)
 
 
+# The lower half of every byte.
+LOW_HALVES = 0x0F0F0F0F0F0F0F0F
+
+
 def little_endian(n: Column, size: int) -> Column:
-    whole = big_endian(n, size)
-    return F.concat(*[F.substring(whole, i, 1) for i in range(size, 0, -1)])
+    """The same, lowest byte first: hex digits turned round, after the two of each byte have changed places."""
+    n = n.cast("bigint")
+    swapped = F.shiftright(n, 4).bitwiseAND(LOW_HALVES).bitwiseOR(F.shiftleft(n.bitwiseAND(LOW_HALVES), 4))
+    return F.substring(F.unhex(F.reverse(F.lpad(F.hex(swapped), 16, "0"))), 1, size)
 
 
 def prefixed(data: Column, prefix_bytes: int) -> Column:
@@ -25,16 +31,17 @@ def prefixed(data: Column, prefix_bytes: int) -> Column:
 
 def packed_decimal(value: Column, precision: int, scale: int) -> Column:
     """A DECIMAL(precision, scale) column in its packed form."""
-    digits = F.lpad(F.regexp_replace(F.abs(value).cast(f"decimal({precision},{scale})").cast("string"), r"\.", ""), precision, "0")
+    digits = F.lpad(F.translate(F.abs(value).cast(f"decimal({precision},{scale})").cast("string"), ".", ""), precision, "0")
     whole, left = divmod(precision - scale, DIGITS_PER_GROUP)
     full, right = divmod(scale, DIGITS_PER_GROUP)
     start, groups = 1, []
     for n in [left, *[DIGITS_PER_GROUP] * (whole + full), right]:
         if n:
-            groups.append(F.lpad(F.hex(F.substring(digits, start, n).cast("bigint")), 2 * DIGITS_TO_BYTES[n], "0"))
+            size, group = DIGITS_TO_BYTES[n], F.substring(digits, start, n).cast("bigint")
+            # The first bit of all, which no group of digits reaches, is set.
+            groups.append(F.lpad(F.hex(group if groups else group + (1 << (8 * size - 1))), 2 * size, "0"))
             start += n
     text = F.concat(*groups)
-    text = F.concat(F.translate(F.substring(text, 1, 1), "01234567", "89ABCDEF"), F.substr(text, F.lit(2)))
     inverse = F.translate(text, "0123456789ABCDEF", "FEDCBA9876543210")
     return F.unhex(F.when(value < 0, inverse).otherwise(text))
 

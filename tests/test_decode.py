@@ -12,6 +12,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from cdcflow.functions import decode as D
+from cdcflow.plans import packing as K
 
 CELL = "event_id bigint, row_seq int, column_name string, mysql_type string, meta int, length int, raw binary"
 PART_BYTES = [0, 1, 1, 2, 2, 3, 3, 4, 4, 4]
@@ -233,3 +234,22 @@ def test_row_images(spark):
     data = [(1, 0, "a", "TINY", 0, 0, bytearray(b"\x01")), (1, 0, "b", "TINY", 0, 0, None), (1, 1, "a", "TINY", 0, 0, bytearray(b"\x02"))]
     out = D.row_images(D.decode_cells(spark.createDataFrame(data, CELL)), ["event_id", "row_seq"])
     assert sorted((r["row_seq"], r["image"]) for r in out.collect()) == [(0, {"a": "1", "b": None}), (1, {"a": "2"})]
+
+
+def test_packed_numbers(spark):
+    """Bytes of whole numbers in both orders, and decimals of every number of leading digits with their sign bit."""
+    some = [0, 1, -1, 15, 16, 255, 256, -256, 0x0123456789ABCDEF, -(2**63), 2**63 - 1]
+    df = spark.createDataFrame([(n,) for n in [*some, None]], "n bigint")
+    for size in (1, 2, 3, 4, 8):
+        got = df.select("n", K.little_endian(F.col("n"), size).alias("little"), K.big_endian(F.col("n"), size).alias("big")).collect()
+        for r in got:
+            whole = None if r.n is None else (r.n % 2**64).to_bytes(8, "little")
+            assert (r.little, r.big) == ((None, None) if whole is None else (whole[:size], whole[:size][::-1]))
+    for precision in range(1, 20):
+        top = decimal.Decimal("9" * precision).scaleb(-min(2, precision - 1))
+        scale = min(2, precision - 1)
+        values = spark.createDataFrame([(v,) for v in (top, -top, *map(decimal.Decimal, (0, 1, -1)), None)], f"v decimal({precision},{scale})")
+        packed = values.select("v", K.packed_decimal(F.col("v"), precision, scale).alias("raw"))
+        for r in packed.select("v", D.decimal_value(F.col("raw"), precision, scale).alias("back"), F.length("raw").alias("size"), F.hex("raw").alias("hex")).collect():
+            assert r.back == r.v
+            assert r.v is None or (r.hex[0] >= "8") == (r.v >= 0)

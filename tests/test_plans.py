@@ -64,3 +64,10 @@ def test_filters_reach_the_scan(spark, data):
     pushed = plan(orders.where(rows_after(orders, "o_orderdate", ["o_orderkey"], saved))).split("PushedFilters: ")[1]
     assert "GreaterThan(o_orderdate,1996-03-01T00:00)" in pushed and "And(EqualTo(o_orderdate" in pushed
     assert "EqualTo(o_orderpriority,1-URGENT)" in plan(query(spark, data, "dynamic_filter"))
+
+
+@pytest.mark.parametrize("name", ["images_from_cells", "decode_mixed_cells"])
+def test_cells_are_packed_ahead_of_the_generator(spark, data, name):
+    """Spark generates no code for what a generator works out itself in so long a plan."""
+    generate = [line for line in plan(query(spark, data, name)).splitlines() if "Generate inline" in line]
+    assert generate and not any("hex(" in line for line in generate)
